@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from stayline.catalog import cleaning, exploring  # noqa: F401
+from stayline.catalog import cleaning, evaluating, exploring  # noqa: F401
 from stayline.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -263,26 +263,26 @@ _NUM = "t as (select customerID, tenure, Contract, MonthlyCharges, try_cast(trim
 
 
 @query("charge_ratios", f""", {_NUM}
-select customerID, round(coalesce(MonthlyCharges / nullif(tenure, 0), 0), 6) as monthly_per_tenure,
-  round(coalesce(TotalCharges / nullif(tenure, 0), 0), 6) as total_per_tenure from t""", SUB)
+select customerID, coalesce(MonthlyCharges / nullif(tenure, 0), 0) as monthly_per_tenure,
+  coalesce(TotalCharges / nullif(tenure, 0), 0) as total_per_tenure from t""", SUB)
 def charge_ratios(spark, sf):
-    return rounded(features.add_charge_ratios(coerced(spark, sf)).select(S.KEY, "monthly_per_tenure", "total_per_tenure"))
+    return features.add_charge_ratios(coerced(spark, sf)).select(S.KEY, "monthly_per_tenure", "total_per_tenure")
 
 
-@query("avg_monthly_charge", f", {_NUM} select customerID, round(TotalCharges / (tenure + 1), 6) as avg_monthly_charge from t", SUB)
+@query("avg_monthly_charge", f", {_NUM} select customerID, TotalCharges / (tenure + 1) as avg_monthly_charge from t", SUB)
 def avg_monthly_charge(spark, sf):
-    return rounded(coerced(spark, sf).select(S.KEY, features.avg_monthly_charge().alias("avg_monthly_charge")))
+    return coerced(spark, sf).select(S.KEY, features.avg_monthly_charge().alias("avg_monthly_charge"))
 
 
 @query("avg_charge_guarded", f""", {_NUM}
-select customerID, round(case when tenure > 0 then TotalCharges / tenure else 0.0 end, 6) as avg_charge from t""", SUB)
+select customerID, case when tenure > 0 then TotalCharges / tenure else 0.0 end as avg_charge from t""", SUB)
 def avg_charge_guarded(spark, sf):
-    return rounded(coerced(spark, sf).select(S.KEY, features.avg_charge_guarded().alias("avg_charge")))
+    return coerced(spark, sf).select(S.KEY, features.avg_charge_guarded().alias("avg_charge"))
 
 
-@query("interaction", "select customerID, round(tenure * MonthlyCharges, 6) as tenure_charge from subscribers", SUB)
+@query("interaction", "select customerID, tenure * MonthlyCharges as tenure_charge from subscribers", SUB)
 def interaction(spark, sf):
-    return rounded(subscribers(spark, sf).select(S.KEY, features.tenure_charge().alias("tenure_charge")))
+    return subscribers(spark, sf).select(S.KEY, features.tenure_charge().alias("tenure_charge"))
 
 
 @query("vs_group_avg", """
@@ -343,20 +343,20 @@ def one_hot(spark, sf):
 
 @query("prepared_table", f""", {_NUM}, p as (select s.*, t.TotalCharges total from subscribers s join t using (customerID)
   where t.TotalCharges is not null)
-select customerID, round(total, 6) as "TotalCharges", case when Churn = 'Yes' then 1 else 0 end as label,
+select customerID, total as "TotalCharges", case when Churn = 'Yes' then 1 else 0 end as label,
   case when tenure between 1 and 12 then 'Short-term' when tenure between 13 and 24 then 'Mid-term'
     when tenure between 25 and 48 then 'Long-term' when tenure between 49 and 60 then 'Very-long-term'
     when tenure > 60 then 'Loyal' end as tenure_category,
   case when tenure between 0 and 12 then '0-12' when tenure between 13 and 24 then '13-24'
     when tenure between 25 and 48 then '25-48' when tenure between 49 and 72 then '49-72' end as tenure_group,
   {_YES} as num_services, {_NOT_NO} as service_count,
-  round(coalesce(MonthlyCharges / nullif(tenure, 0), 0), 6) as monthly_per_tenure,
-  round(total / (tenure + 1), 6) as avg_monthly_charge, round(tenure * MonthlyCharges, 6) as tenure_charge
+  coalesce(MonthlyCharges / nullif(tenure, 0), 0) as monthly_per_tenure,
+  total / (tenure + 1) as avg_monthly_charge, tenure * MonthlyCharges as tenure_charge
 from p""", SUB)
 def prepared_table(spark, sf):
-    return rounded(features.prepare_table(subscribers(spark, sf)).select(
+    return features.prepare_table(subscribers(spark, sf)).select(
         S.KEY, "TotalCharges", "label", "tenure_category", "tenure_group", "num_services", "service_count",
-        "monthly_per_tenure", "avg_monthly_charge", "tenure_charge"))
+        "monthly_per_tenure", "avg_monthly_charge", "tenure_charge")
 
 
 # --- scalar functions --------------------------------------------------------------------------------------------
