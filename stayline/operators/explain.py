@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from stayline.operators.metrics import roc_auc
 from stayline.operators.scoring import positive_probability
+from stayline.plans.durable import cut_lineage
+from stayline.plans.ordered import hash_rank
 
 
 def linear_contributions(df: DataFrame, key: str, coefficients: Mapping[str, float]) -> DataFrame:
@@ -54,7 +56,6 @@ def shuffle_column(df: DataFrame, key: str, column: str, seed: int = 42) -> Data
 
     Row i in hash order takes the value of the row that is i-th in another hash order: an equi-join on the rank.
     """
-    from stayline.plans.ordered import hash_rank
     rows = hash_rank(df, key, (), seed, "_place")
     dealt = hash_rank(df.select(key, column), key, (), seed + 1, "_place").select("_place", F.col(column).alias("_dealt"))
     return rows.join(dealt, "_place").withColumn(column, F.col("_dealt")).drop("_place", "_dealt").select(*df.columns)
@@ -66,6 +67,7 @@ def permutation_importance(df: DataFrame, model: Transformer, key: str, columns:
     def auc(rows: DataFrame) -> float:
         return roc_auc(model.transform(rows).select(label, positive_probability().alias("score"))).first()["roc_auc"]
 
+    df = cut_lineage(df)  # read once per column
     base = auc(df)
     rows = [(c, base, auc(shuffle_column(df, key, c, seed))) for c in columns]
     return df.sparkSession.createDataFrame([(c, b, s, b - s) for c, b, s in rows],

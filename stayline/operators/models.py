@@ -23,6 +23,7 @@ from stayline.operators.metrics import compare_models
 from stayline.operators.sampling import folds_stratified
 from stayline.operators.scoring import positive_probability
 from stayline.operators.stages import BalancedWeights, ColumnImputer, IqrClipper
+from stayline.plans.durable import cut_lineage
 
 # --- Fixed values: default classifier settings ---
 DEFAULTS = {
@@ -99,13 +100,15 @@ class Prepared:
 
 
 def prepare(train: DataFrame, stages: Pipeline | None = None, keep: Sequence[str] = (S.KEY, "label")) -> Prepared:
-    """Fit the preparation once and cache only what classifiers read, so every fit starts from vectors."""
+    """Fit the preparation once and keep only what classifiers read, so every fit starts from vectors.
+
+    The vectors are checkpointed: iterative fits plan hundreds of small jobs, and each would drag the lineage along.
+    """
     raw = train.persist(StorageLevel.MEMORY_AND_DISK)
     model = (stages or preparation()).fit(raw)
     out = model.transform(raw)
     columns = [*keep, "features", *(["weight"] if "weight" in out.columns else [])]
-    table = out.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    table.count()
+    table = cut_lineage(out.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
     raw.unpersist()
     return Prepared(model, table)
 
@@ -141,7 +144,7 @@ def cross_validate(train: DataFrame, estimator: Estimator, candidates: list[dict
                    parallelism: int = 4, seed: int = S.SEED) -> tuple[Transformer, DataFrame]:
     """The refitted best model and (params, mean_auc, std_auc, best) per candidate over stratified folds."""
     spark = train.sparkSession
-    marked = folds_stratified(train, key, ["label"], folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    marked = cut_lineage(folds_stratified(train, key, ["label"], folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
     search = CrossValidator(estimator=estimator, estimatorParamMaps=candidates, evaluator=judge, numFolds=folds,
                             foldCol="fold", parallelism=parallelism, seed=seed)

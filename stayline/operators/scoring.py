@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import vector_to_array
@@ -44,15 +44,16 @@ def confidence(p: Column | str) -> Column:
     return F.array_max(F.array(1 - x, x))
 
 
-def predictions(df: DataFrame, score: str = "score", key: str = S.KEY, threshold: float = 0.5) -> DataFrame:
-    """Key, probability, Yes/No, label text, risk level and confidence."""
+def predictions(df: DataFrame, score: str = "score", key: str = S.KEY, threshold: float = 0.5,
+                extra: Sequence[str] = ()) -> DataFrame:
+    """Key, probability, Yes/No, label text, risk level and confidence, plus passed-through columns."""
     p = F.col(score)
     hit = p >= threshold
     return df.select(
         key, p.alias("churn_probability"),
         F.when(hit, S.POSITIVE).when(p.isNotNull(), S.NEGATIVE).alias("prediction"),
         F.when(hit, "Churn").when(p.isNotNull(), "No Churn").alias("prediction_label"),
-        risk_level(p).alias("risk_level"), confidence(p).alias("confidence_score"))
+        risk_level(p).alias("risk_level"), confidence(p).alias("confidence_score"), *extra)
 
 
 def envelope(df: DataFrame, event_ts: Column, processed_ts: Column, key: str = S.KEY) -> DataFrame:
