@@ -64,11 +64,15 @@ def shuffle_column(df: DataFrame, key: str, column: str, seed: int = 42) -> Data
 def permutation_importance(df: DataFrame, model: Transformer, key: str, columns: Sequence[str], label: str = "label",
                            seed: int = 42) -> DataFrame:
     """(feature, base_auc, shuffled_auc, importance): how much the exact ROC AUC falls when a column is shuffled."""
-    def auc(rows: DataFrame) -> float:
-        return roc_auc(model.transform(rows).select(label, positive_probability().alias("score"))).first()["roc_auc"]
+    rows = cut_lineage(df)  # read once per column
 
-    df = cut_lineage(df)  # read once per column
-    base = auc(df)
-    rows = [(c, base, auc(shuffle_column(df, key, c, seed))) for c in columns]
-    return df.sparkSession.createDataFrame([(c, b, s, b - s) for c, b, s in rows],
+    def scored(name: str, variant: DataFrame) -> DataFrame:
+        return model.transform(variant).select(F.lit(name).alias("feature"), label, positive_probability().alias("score"))
+
+    parts = scored("", rows)
+    for column in columns:
+        parts = parts.unionByName(scored(column, shuffle_column(rows, key, column, seed)))
+    areas = {r["feature"]: r["roc_auc"] for r in roc_auc(cut_lineage(parts), ["feature"], label).collect()}
+    base = areas[""]
+    return df.sparkSession.createDataFrame([(c, base, areas[c], base - areas[c]) for c in columns],
                                            "feature string, base_auc double, shuffled_auc double, importance double")
