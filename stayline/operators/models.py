@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
@@ -182,7 +183,10 @@ def segments(df: DataFrame, features: Sequence[str] = ("tenure", "MonthlyCharges
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)])
     scaler = vectors.fit(complete)
     table = scaler.transform(complete).select("features", features[0]).persist(StorageLevel.MEMORY_AND_DISK)
-    fits = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="_cluster").fit(table) for i in range(starts)]
+    table.count()
+    with ThreadPoolExecutor(4) as pool:  # independent starts on one cached table
+        fits = list(pool.map(lambda i: KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="_cluster").fit(table),
+                             range(starts)))
     best = min(fits, key=lambda m: m.summary.trainingCost)
     order = [r["_cluster"] for r in best.transform(table).groupBy("_cluster").agg(F.avg(features[0]).alias("m"))
              .orderBy("m", "_cluster").collect()]

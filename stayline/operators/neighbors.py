@@ -104,7 +104,7 @@ def _search(points: DataFrame, queries: DataFrame, k: int, slice_rows: int) -> D
 
     def local(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(q):
-            return pd.DataFrame({"x": [], "leaf": [], "near": []})
+            return pd.DataFrame({"x": [], "leaf": [], "near": []}, dtype=object)
         if not len(b):
             return pd.DataFrame({"x": q["x"], "leaf": q["leaf"], "near": [[] for _ in range(len(q))]})
         rows = b.explode("keys", ignore_index=True).sort_values("keys", ignore_index=True)
@@ -144,7 +144,8 @@ def _touched(found: DataFrame, leaves: Leaves, k: int) -> DataFrame:
                 hit = leaves.distance2(x[p]) <= limit[p][:, None]
                 hit[np.arange(len(hit)), own[p]] = False
                 row, leaf = np.nonzero(hit)
-                yield pd.DataFrame({"x": [x[p][r] for r in row], "leaf": leaf.astype("int32")})
+                if len(row):
+                    yield pd.DataFrame({"x": [x[p][r] for r in row], "leaf": leaf.astype("int32")})
 
     radius = F.when(F.size("near") >= k, F.element_at("near", -1)["d2"])
     return found.select("x", "leaf", radius.alias("r2")).mapInPandas(reach, "x array<double>, leaf int")

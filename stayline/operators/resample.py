@@ -11,6 +11,7 @@ from stayline import schema as S
 from stayline.functions.scalars import unit_draw
 from stayline.operators.neighbors import nearest
 from stayline.operators.sampling import class_sizes
+from stayline.plans.durable import cut_lineage
 from stayline.plans.ordered import mark_first
 
 NEIGHBORS = 5
@@ -55,7 +56,7 @@ def smote(df: DataFrame, key: str, label: str, features: Sequence[str], k: int =
         if value is None or need <= 0:
             continue
         rows = df.where(F.col(label) == F.lit(value)).select(key, *features)
-        near = nearest(rows, rows, key, features, k, leaf_rows)
+        near = cut_lineage(nearest(rows, rows, key, features, k, leaf_rows))  # ranked first, then interpolated
         each, rest = divmod(need, n)
         marked = mark_first(near, "key", lambda _, rest=rest: F.lit(rest), (), seed, "_more") if rest else \
             near.withColumn("_more", F.lit(False))
@@ -77,8 +78,9 @@ def adasyn(df: DataFrame, key: str, label: str, features: Sequence[str], k: int
             continue
         rows = df.where(F.col(label) == F.lit(value)).select(key, *features)
         around = nearest(rows, df.select(key, *features), key, features, k, leaf_rows)
-        foreign = (around.select("key", F.explode("near").alias("n")).select("key", "n.neighbor").join(labels, "neighbor")
-                   .groupBy("key").agg(F.count_if(F.col("_other") != F.lit(value)).alias("foreign")))
+        foreign = cut_lineage(
+            around.select("key", F.explode("near").alias("n")).select("key", "n.neighbor").join(labels, "neighbor")
+            .groupBy("key").agg(F.count_if(F.col("_other") != F.lit(value)).alias("foreign")))  # summed, then joined
         total = foreign.agg(F.sum("foreign").alias("t")).first()["t"]
         if not total:
             raise ValueError(f"no row of class {value!r} has a neighbour of another class: use smote")
