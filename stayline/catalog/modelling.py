@@ -102,9 +102,8 @@ def top_features(spark, sf):
     train, _ = split(spark, sf)
     prepared = models.prepare(train)
     forest = models.classifier("rf").fit(prepared.train)
-    names = explain.feature_names(prepared.train)
     prepared.release()
-    return explain.top_features(train, forest, names, 10)
+    return explain.top_features(train, forest, prepared.names, 10)
 
 
 @query("permutation_importance")

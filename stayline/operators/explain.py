@@ -25,9 +25,10 @@ def linear_contributions(df: DataFrame, key: str, coefficients: Mapping[str, flo
     return df.select(key, F.explode(F.array(*parts)).alias("p")).select(key, "p.*")
 
 
-def feature_names(scored: DataFrame, vector: str = "features") -> list[str]:
-    """Names of the vector's slots from the column's attribute metadata."""
-    attrs = scored.schema[vector].metadata.get("ml_attr", {}).get("attrs", {})
+def feature_names(prepared: DataFrame) -> list[str]:
+    """Names of the feature slots from the attribute metadata; scalers drop it, so the assembled vector is asked first."""
+    vector = "assembled" if "assembled" in prepared.columns else "features"
+    attrs = prepared.schema[vector].metadata.get("ml_attr", {}).get("attrs", {})
     slots = sorted((a["idx"], a.get("name", str(a["idx"]))) for group in attrs.values() for a in group)
     return [name for _, name in slots]
 

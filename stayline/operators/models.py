@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline import schema as S
+from stayline.operators.explain import feature_names
 from stayline.operators.metrics import compare_models
 from stayline.operators.sampling import folds_stratified
 from stayline.operators.scoring import positive_probability
@@ -95,6 +96,7 @@ class Prepared:
 
     model: PipelineModel
     train: DataFrame
+    names: list[str]
 
     def release(self) -> None:
         self.train.unpersist()
@@ -111,7 +113,7 @@ def prepare(train: DataFrame, stages: Pipeline | None = None, keep: Sequence[str
     columns = [*keep, "features", *(["weight"] if "weight" in out.columns else [])]
     table = cut_lineage(out.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
     raw.unpersist()
-    return Prepared(model, table)
+    return Prepared(model, table, feature_names(out))
 
 
 def scores(df: DataFrame, keep: Sequence[str] = (S.KEY, "label")) -> DataFrame:
