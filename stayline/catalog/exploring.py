@@ -246,10 +246,8 @@ def run_log(spark, sf):
 
 
 def versions(spark, sf):
-    """A version number per run of a model: the number of runs of that model up to it."""
-    log = run_log(spark, sf).select("run_id", "model")
-    numbered = log.join(log.select("model", F.col("run_id").alias("other")), "model").where("other <= run_id")
-    return numbered.groupBy("run_id", "model").agg(F.count("*").cast("int").alias("version"))
+    """A version number per run of a model."""
+    return runs.number_versions(run_log(spark, sf).select("run_id", "model"), "model", "run_id")
 
 
 @query("runs_best", f""", {_RUNS}, v as (select run_id, cast(row_number() over (partition by model order by run_id) as int) as version from r)

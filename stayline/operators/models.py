@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.operators.explain import feature_names
 from stayline.operators.metrics import compare_models
+from stayline.operators.resample import balance
 from stayline.operators.sampling import folds_stratified
 from stayline.operators.scoring import positive_probability
 from stayline.operators.stages import BalancedWeights, ColumnImputer, IqrClipper
@@ -102,17 +103,22 @@ class Prepared:
         self.train.unpersist()
 
 
-def prepare(train: DataFrame, stages: Pipeline | None = None, keep: Sequence[str] = (S.KEY, "label")) -> Prepared:
+def prepare(train: DataFrame, stages: Pipeline | None = None, keep: Sequence[str] = (S.KEY, "label"),
+            resample: str | None = None) -> Prepared:
     """Fit the preparation once and keep only what classifiers read, so every fit starts from vectors.
 
+    ``resample`` balances the encoded training rows: smote, adasyn, oversample or undersample.
     The vectors are checkpointed: iterative fits plan hundreds of small jobs, and each would drag the lineage along.
     """
     raw = train.persist(StorageLevel.MEMORY_AND_DISK)
     model = (stages or preparation()).fit(raw)
     out = model.transform(raw)
     columns = [*keep, "features", *(["weight"] if "weight" in out.columns else [])]
-    table = cut_lineage(out.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    table = cut_lineage(out.select(*columns))
     raw.unpersist()
+    if resample:
+        table = cut_lineage(balance(table, resample))
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(model, table, feature_names(out))
 
 
@@ -206,9 +212,9 @@ def segments(df: DataFrame, features: Sequence[str] = ("tenure", "MonthlyCharges
 # --- train, compare, select ----------------------------------------------------------------------------------------
 
 def train_select(train: DataFrame, test: DataFrame, estimators: Mapping[str, Estimator], stages: Pipeline | None = None,
-                 metric: str = "roc_auc") -> tuple[PipelineModel, DataFrame]:
+                 metric: str = "roc_auc", resample: str | None = None) -> tuple[PipelineModel, DataFrame]:
     """Fit every classifier on one cached feature table, compare on the test rows, return the best and all metrics."""
-    prepared = prepare(train, stages)
+    prepared = prepare(train, stages, resample=resample)
     fitted = {name: est.fit(prepared.train) for name, est in estimators.items()}
     prepared.release()
     vectors = prepared.model.transform(test).select(S.KEY, "label", "features").persist(StorageLevel.MEMORY_AND_DISK)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.functions.scalars import unit_draw
 from stayline.operators.neighbors import nearest
-from stayline.operators.sampling import class_sizes
+from stayline.operators.sampling import class_sizes, oversample, undersample
 from stayline.plans.durable import cut_lineage
 from stayline.plans.ordered import mark_first
 
@@ -89,3 +90,25 @@ def adasyn(df: DataFrame, key: str, label: str, features: Sequence[str], k: int
                               features, seed)
         made.append(_finish(points, key, label, value, df.schema[label].dataType, features))
     return _assemble(df, made, key, label, features)
+
+
+METHODS = ("smote", "adasyn", "oversample", "undersample")
+
+
+def balance(table: DataFrame, method: str, key: str = S.KEY, label: str = "label", vector: str = "features",
+            seed: int = S.SEED) -> DataFrame:
+    """Balance a table of feature vectors by one of ``METHODS``: (key, label, vector) comes back."""
+    if method == "oversample":
+        out = oversample(table, key, label, seed)
+        return out.withColumn(key, F.when(F.col("copy") > 0, F.concat_ws("#", key, F.col("copy").cast("string")))
+                              .otherwise(F.col(key).cast("string"))).select(key, label, vector)
+    if method == "undersample":
+        return undersample(table, key, label, seed).select(key, label, vector)
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}: use one of {', '.join(METHODS)}")
+    size = table.select(F.array_size(vector_to_array(vector))).first()[0]
+    slots = [f"_f{i}" for i in range(size)]
+    values = vector_to_array(vector)
+    wide = table.select(key, label, *[values[i].alias(c) for i, c in enumerate(slots)])
+    made = (smote if method == "smote" else adasyn)(wide, key, label, slots, seed=seed)
+    return made.select(key, label, array_to_vector(F.array(*slots)).alias(vector))

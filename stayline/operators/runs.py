@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from stayline.plans.ordered import global_rank
+from stayline.plans.small import join_groups, settle
 
 RUN_SCHEMA = "run_id string, model string, params map<string,string>, metrics map<string,double>"
 
@@ -34,6 +36,13 @@ def best_version(runs: DataFrame, versions: DataFrame, metric: str) -> DataFrame
     return top_runs(runs, metric, 1).join(versions, "run_id")
 
 
+def number_versions(runs: DataFrame, name: str, order: str, out: str = "version") -> DataFrame:
+    """1, 2, ... per model along ``order``: the global position minus the model's first position."""
+    placed = global_rank(runs, [name, order], "_place")
+    first = settle(placed.groupBy(name).agg(F.min("_place").alias("_first")))
+    return join_groups(placed, first, [name]).withColumn(out, (F.col("_place") - F.col("_first") + 1).cast("int")).drop("_place", "_first")
+
+
 def mark_versions(versions: DataFrame, name: str, version: str, keep: int) -> DataFrame:
     """``stage``: the newest ``keep`` versions of a model stay active, older ones are archived.
 
@@ -42,5 +51,5 @@ def mark_versions(versions: DataFrame, name: str, version: str, keep: int) -> Da
     newest = (versions.select(name, version)
               .withColumn("_r", F.row_number().over(W.partitionBy(name).orderBy(F.desc(version)))).where(F.col("_r") <= keep)
               .groupBy(name).agg(F.min(version).alias("_floor")))
-    return (versions.join(newest, name)
+    return (join_groups(versions, settle(newest), [name])
             .withColumn("stage", F.when(F.col(version) >= F.col("_floor"), "Active").otherwise("Archived")).drop("_floor"))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.functions.scalars import order_key, unit_draw
 from stayline.plans.ordered import global_rank, hash_rank, mark_first
-from stayline.plans.small import join_groups, settle
 
 
 def split_hash(df: DataFrame, key: str, share: float = S.TEST_SHARE, seed: int = S.SEED) -> DataFrame:
@@ -56,9 +55,15 @@ def folds_time(df: DataFrame, order: Sequence[str], k: int = S.CV_FOLDS, out: st
     return ranked.withColumn(out, block.cast("int")).drop("_rank")
 
 
+CLASS_LIMIT = 1000
+
+
 def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows per class; labels are few by nature."""
-    return {r[0]: r[1] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    """Rows per class. A column with more than ``CLASS_LIMIT`` values is no class label and raises."""
+    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(CLASS_LIMIT + 1).collect()
+    if len(rows) > CLASS_LIMIT:
+        raise ValueError(f"{label} has more than {CLASS_LIMIT} classes")
+    return {r[0]: r[1] for r in rows}
 
 
 def oversample(df: DataFrame, key: str, label: str, seed: int = S.SEED) -> DataFrame:
@@ -66,13 +71,14 @@ def oversample(df: DataFrame, key: str, label: str, seed: int = S.SEED) -> DataF
 
     Column ``copy`` counts from 0; copy 0 is the original.
     """
-    target = max(class_sizes(df, label).values(), default=0)
-    sizes = settle(df.groupBy(label).agg(F.count("*").alias("_n")))
-    rest = mark_first(df, key, lambda n: F.lit(target) - F.floor(F.lit(target) / n) * n, [label], seed, "_extra")
-    whole = join_groups(rest, sizes, [label]).withColumn(
-        "_copies", F.floor(F.lit(target) / F.col("_n")).cast("int") + F.col("_extra").cast("int"))
-    return whole.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop(
-        "_n", "_extra", "_copies")
+    sizes = class_sizes(df, label)
+    target = max(sizes.values(), default=0)
+    rest = mark_first(df, key, lambda n: F.pmod(F.lit(target), n), [label], seed, "_extra")
+    whole = F.lit(1)
+    for value, n in sizes.items():
+        whole = F.when(F.col(label).eqNullSafe(F.lit(value)), target // n).otherwise(whole)
+    copies = rest.withColumn("_copies", whole + F.col("_extra").cast("int"))
+    return copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_extra", "_copies")
 
 
 def undersample(df: DataFrame, key: str, label: str, seed: int = S.SEED) -> DataFrame:
@@ -83,11 +89,12 @@ def undersample(df: DataFrame, key: str, label: str, seed: int = S.SEED) -> Data
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Balanced weights n / (classes * n_class)."""
-    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
-    sizes = {r[0]: r[1] for r in counts.collect()}
-    total, k = sum(sizes.values()), max(len(sizes), 1)
-    weights = settle(counts.select(label, (F.lit(float(total)) / (F.col("_n") * k)).alias(out)))
-    return join_groups(df, weights, [label], "left")
+    sizes = class_sizes(df, label)
+    total, k = float(sum(sizes.values())), len(sizes)
+    weight = F.lit(None).cast("double")
+    for value, n in sizes.items():
+        weight = F.when(F.col(label).eqNullSafe(F.lit(value)), total / (n * k)).otherwise(weight)
+    return df.withColumn(out, weight)
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = S.SEED) -> DataFrame:

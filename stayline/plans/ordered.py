@@ -158,10 +158,8 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataF
     partition-local position comes from the row id, and partition sizes give the offsets. The sorted rows are
     checkpointed because a recomputed range partitioning may draw other edges.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     in_part = (1 << 33) - 1
-    placed = cut_lineage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order)
                          .withColumn("_m", F.monotonically_increasing_id())
                          .withColumn("_p", F.shiftright("_m", 33))
                          .withColumn("_m", F.col("_m").bitwiseAND(F.lit(in_part))))

@@ -15,10 +15,14 @@ STAGE_DECODE, STAGE_PREDICT = "decode", "prediction"
 
 
 def parse(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Adds struct ``v``; ``v._corrupt`` holds the text of a value that is no JSON or breaks the schema."""
+    """Adds struct ``v``; ``v._corrupt`` holds the text of a value that is no JSON or breaks the schema.
+
+    The one-element explode keeps later filters above the parse: pushed below it they would parse the text again.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return df.withColumn("v", F.from_json(F.col("value").cast("string"), with_corrupt,
-                                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    parsed = F.from_json(F.col("value").cast("string"), with_corrupt,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.select("*", F.explode(F.array(parsed)).alias("v"))
 
 
 def is_corrupt() -> Column:

@@ -26,10 +26,8 @@ def score_with_model(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", positive_probability())
 
 
-def score_messages(messages: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer,
-                   processed_ts: Column) -> tuple[DataFrame, DataFrame]:
-    """(predictions, dead letters) of a table of messages. Every message ends up in exactly one of them."""
-    routed = route(messages, schema, list(numeric), processed_ts)
+def split_scored(routed: DataFrame, scorer: Scorer, processed_ts: Column) -> tuple[DataFrame, DataFrame]:
+    """(predictions, dead letters) of routed messages. Every message ends up in exactly one of them."""
     good = routed.where(F.col("error").isNull()).drop("error", "stage", "failed_at", "original_message")
     scored = scorer(good.withColumn("message_ts", F.col("event_ts")))
     rows = predictions(scored.withColumn(S.KEY, F.coalesce(S.KEY, "key")).select(S.KEY, "score", "message_ts"),
@@ -38,13 +36,20 @@ def score_messages(messages: DataFrame, schema: T.StructType, numeric: Sequence[
     return envelope(rows, F.col("message_ts"), processed_ts), bad
 
 
+def score_messages(messages: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer,
+                   processed_ts: Column) -> tuple[DataFrame, DataFrame]:
+    """(predictions, dead letters) of a table of messages."""
+    return split_scored(route(messages, schema, list(numeric), processed_ts), scorer, processed_ts)
+
+
 def score_stream(stream: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer, sink: Sink, checkpoint: str,
                  clock: Callable[[], Column] = F.current_timestamp, trigger: dict | None = None) -> StreamingQuery:
     """Start scoring a (key, value) stream. Without a trigger it drains what is there and ends."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        # Both sides read the batch: keep it instead of reading the source twice.
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        good, bad = score_messages(kept, schema, numeric, scorer, clock())
+        now = clock()
+        # Both sides read the parsed batch: keep it instead of reading and parsing the source twice.
+        kept = route(batch, schema, list(numeric), now).persist(StorageLevel.MEMORY_AND_DISK)
+        good, bad = split_scored(kept, scorer, now)
         sink(good, "predictions", batch_id)
         sink(bad, "dead_letters", batch_id)
         kept.unpersist()
