@@ -6,7 +6,6 @@ Base models are chained as transformers, so their scores become columns of one t
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline import schema as S
-from stayline.operators.models import classifier, prepare, scores
+from stayline.operators.models import classifier, fit_all, prepare, scores
 from stayline.operators.sampling import folds_stratified, split_stratified, train_test
 from stayline.operators.scoring import positive_probability, vote_hard, vote_soft
 from stayline.plans.durable import cut_lineage
@@ -30,12 +29,6 @@ def add_scores(df: DataFrame, models: Mapping[str, Transformer]) -> DataFrame:
     return df
 
 
-def _fit_all(table: DataFrame, estimators: Mapping[str, Estimator], threads: int = 3) -> dict[str, Transformer]:
-    """Independent fits on one cached table, submitted side by side."""
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(zip(estimators, pool.map(lambda e: e.fit(table), estimators.values())))
-
-
 @dataclass
 class Ensemble:
     """Fitted preparation, base models and either a vote or a meta model."""
@@ -66,7 +59,7 @@ def voting(train: DataFrame, estimators: Mapping[str, Estimator], kind: str = "s
     if kind not in ("soft", "hard"):
         raise ValueError(f"unknown voting {kind!r}: use soft or hard")
     prepared = prepare(train)
-    models = _fit_all(prepared.train, estimators)
+    models = fit_all(prepared.train, estimators)
     prepared.release()
     return Ensemble(prepared.model, models, voting=kind)
 
@@ -78,11 +71,11 @@ def stacking(train: DataFrame, estimators: Mapping[str, Estimator], meta: Estima
     marked = cut_lineage(folds_stratified(prepared.train, S.KEY, ["label"], folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
     held_out = None
     for fold in range(folds):
-        models = _fit_all(marked.where(F.col("fold") != fold).drop("fold"), estimators)
+        models = fit_all(marked.where(F.col("fold") != fold).drop("fold"), estimators)
         part = add_scores(marked.where(F.col("fold") == fold).drop("fold"), models).drop("features")
         held_out = part if held_out is None else held_out.unionByName(part)
     meta_model = (meta or classifier("lr")).fit(_meta_vector(held_out, [f"score_{n}" for n in estimators]))
-    bases = _fit_all(prepared.train, estimators)
+    bases = fit_all(prepared.train, estimators)
     marked.unpersist()
     prepared.release()
     return Ensemble(prepared.model, bases, meta_model)
@@ -93,7 +86,7 @@ def blending(train: DataFrame, estimators: Mapping[str, Estimator], meta: Estima
     """Bases learn from the larger part, the meta model from their scores on the held-out part; nothing is refitted."""
     fitted_on, held = train_test(split_stratified(train, S.KEY, ["label"], share, seed))
     prepared = prepare(fitted_on)
-    bases = _fit_all(prepared.train, estimators)
+    bases = fit_all(prepared.train, estimators)
     prepared.release()
     rows = add_scores(prepared.model.transform(held).select(S.KEY, "label", "features"), bases).drop("features")
     meta_model = (meta or classifier("lr")).fit(_meta_vector(rows, [f"score_{n}" for n in estimators]))

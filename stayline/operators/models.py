@@ -37,6 +37,7 @@ DEFAULTS = {
 }
 # --- End of fixed values ---
 CLASSES = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier, "dt": DecisionTreeClassifier}
+ROWS_PER_TASK = 2000  # below this a training task is mostly overhead
 DEEPEST = 30  # Spark's limit, used for "no limit"
 
 
@@ -118,6 +119,10 @@ def prepare(train: DataFrame, stages: Pipeline | None = None, keep: Sequence[str
     raw.unpersist()
     if resample:
         table = cut_lineage(balance(table, resample))
+    # A small table was coalesced into few partitions, but fits are bound by computing: give every core its share.
+    wanted = min(table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // ROWS_PER_TASK))
+    if table.rdd.getNumPartitions() < wanted:
+        table = table.repartition(wanted, keep[0])
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(model, table, feature_names(out))
 
@@ -209,13 +214,19 @@ def segments(df: DataFrame, features: Sequence[str] = ("tenure", "MonthlyCharges
     return placed.select(*[F.col(f"_f{features.index(c)}").alias(c) if c in features else F.col(c) for c in df.columns], out)
 
 
+def fit_all(table: DataFrame, estimators: Mapping[str, Estimator], threads: int = 3) -> dict[str, Transformer]:
+    """Independent fits on one cached table, submitted side by side."""
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(zip(estimators, pool.map(lambda e: e.fit(table), estimators.values())))
+
+
 # --- train, compare, select ----------------------------------------------------------------------------------------
 
 def train_select(train: DataFrame, test: DataFrame, estimators: Mapping[str, Estimator], stages: Pipeline | None = None,
                  metric: str = "roc_auc", resample: str | None = None) -> tuple[PipelineModel, DataFrame]:
     """Fit every classifier on one cached feature table, compare on the test rows, return the best and all metrics."""
     prepared = prepare(train, stages, resample=resample)
-    fitted = {name: est.fit(prepared.train) for name, est in estimators.items()}
+    fitted = fit_all(prepared.train, estimators)
     prepared.release()
     vectors = prepared.model.transform(test).select(S.KEY, "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     parts = None

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from stayline.functions.scalars import order_key
 from stayline.plans.durable import cut_lineage
-from stayline.plans.small import join_groups, settle
+from stayline.plans.small import fetch, join_groups, settle, settled
 
 BUCKETS = 1024
-HASH_DIGITS = 3  # 4096 hash buckets
+HASH_DIGITS = 4  # 65536 hash buckets
+CELL_ROWS = 20_000_000  # a wanted quantile bucket with more rows is cut further before it is sorted
+ROUNDS = 4
 
 
 def range_bounds(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> list[list[float]]:
@@ -62,34 +64,63 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], bounds: Seque
                     *[f"tot_{c}" for c in sums]))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    buckets: int = BUCKETS) -> DataFrame:
-    """Exact quantiles with linear interpolation: (by..., column, n, q array in the order of ``probs``).
+def _finer(numbers: DataFrame, columns: Sequence[str], bounds: list[list[float]], cells: Sequence[tuple[int, int]],
+           buckets: int) -> list[list[float]]:
+    """The bounds with the given (column, bucket) cells cut by a sketch of the values inside them."""
+    ends = [(c, bounds[c][b], bounds[c][b + 1]) for c, b in cells]
+    inside = numbers.select(*[F.when((F.col(columns[c]) >= lo) & (F.col(columns[c]) < hi), F.col(columns[c])).alias(f"_v{i}")
+                              for i, (c, lo, hi) in enumerate(ends)])
+    out = [set(b) for b in bounds]
+    for (c, lo, hi), found in zip(ends, range_bounds(inside, inside.columns, buckets)):
+        out[c] |= {x for x in found if lo < x < hi}
+    return [sorted(b) for b in out]
 
-    A sketch pass fixes the buckets, a count pass finds the buckets that hold the wanted ranks, and only values of
-    those buckets are sorted. Nulls and NaNs are left out.
-    """
-    numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    marked = with_buckets(numbers, columns, range_bounds(numbers, columns, buckets), "_b")
+
+def _locate(numbers: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str],
+            bounds: list[list[float]]) -> tuple[DataFrame, DataFrame]:
+    """(by..., _c, value, bucket) of all values, and the buckets that hold a wanted rank with the ranks in them."""
+    marked = with_buckets(numbers, columns, bounds, "_b")
     long = (marked.select(*by, F.posexplode(F.array(*[
         F.struct(F.col(c).alias("value"), F.col(f"{c}_b").alias("bucket")) for c in columns])).alias("_c", "_e"))
         .select(*by, "_c", "_e.*").where(F.col("value").isNotNull() & ~F.isnan("value")))
     group = [*by, "_c"]  # the column's number groups faster than its name
     keys = [F.col(g) for g in group]
-
     counts = long.groupBy(*group, "bucket").agg(F.count("*").alias("cnt"))
     upto = W.partitionBy(*keys).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
     placed = (counts.withColumn("before", F.sum("cnt").over(upto) - F.col("cnt"))
               .withColumn("n", F.sum("cnt").over(W.partitionBy(*keys))))
-    position = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
-    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in position for f in (F.floor, F.ceil)]))
-    wanted = (placed.withColumn("ranks", F.filter(
-        ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("cnt"))))
-        .where(F.size("ranks") > 0).select(*group, "bucket", "before", "n", "ranks"))
+    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in _positions(probs) for f in (F.floor, F.ceil)]))
+    wanted = placed.withColumn("ranks", F.filter(
+        ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("cnt")))).where(F.size("ranks") > 0)
+    return long, wanted.select(*group, "bucket", "cnt", "before", "n", "ranks")
+
 
-    near = join_groups(long, settle(wanted), [*group, "bucket"])
+def _positions(probs: Sequence[float]) -> list[Column]:
+    return [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                    buckets: int = BUCKETS, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Exact quantiles with linear interpolation: (by..., column, n, q array in the order of ``probs``).
+
+    A sketch pass fixes the buckets, a count pass finds the buckets that hold the wanted ranks, and only values of
+    those buckets are sorted. Wanted buckets that are still large are cut again first. Nulls and NaNs are left out.
+    """
+    numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    bounds = range_bounds(numbers, columns, buckets)
+    for _ in range(ROUNDS):
+        long, wanted = _locate(numbers, columns, probs, by, bounds)
+        rows = fetch(wanted)
+        large = sorted({(r["_c"], int(r["bucket"])) for r in rows or () if r["cnt"] > cell_rows})
+        finer = _finer(numbers, columns, bounds, large, buckets) if large else bounds
+        if finer == bounds:
+            break
+        bounds = finer
+
+    group = [*by, "_c"]
+    near = join_groups(long, settled(wanted, rows).drop("cnt"), [*group, "bucket"])
     values = near.groupBy(*group, "bucket", "before", "n", "ranks", "value").agg(F.count("*").alias("cnt"))
-    inside = W.partitionBy(*keys, F.col("bucket")).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*[F.col(g) for g in group], F.col("bucket")).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     hits = (values.withColumn("stop", F.col("before") + F.sum("cnt").over(inside))
             .withColumn("rank", F.explode(F.filter(
                 "ranks", lambda r: (r >= F.col("stop") - F.col("cnt")) & (r < F.col("stop"))))))
@@ -102,18 +133,19 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         return F.when(low == high, a).otherwise(a + (b - a) * (p - low))
 
     name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_c") + 1).alias("column")
-    return found.select(*by, name, "n", F.array(*[interpolate(p) for p in position]).alias("q"))
+    return found.select(*by, name, "n", F.array(*[interpolate(p) for p in _positions(probs)]).alias("q"))
 
 
 def hash_rank(df: DataFrame, key: str, by: Sequence[str] = (), seed: int = 42, out: str = "rank") -> DataFrame:
-    """1-based rank inside each group by the hash order of a unique key, spread over 4096 buckets per group."""
+    """1-based rank inside each group by the hash order of a unique key, spread over 65536 buckets per group."""
     rows = df.withColumn("_k", order_key(key, seed)).withColumn("_b", F.substring("_k", 1, HASH_DIGITS))
     keys = [F.col(b) for b in by]
     earlier = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = (rows.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
                .select(*by, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")))
     inside = W.partitionBy(*keys, F.col("_b")).orderBy("_k", key)
-    return (join_groups(rows, settle(offsets, 50_000), [*by, "_b"])
+    small = settle(offsets, 200_000) if by else F.broadcast(offsets)  # without groups: one row per bucket
+    return (join_groups(rows, small, [*by, "_b"])
             .withColumn(out, F.col("_off") + F.row_number().over(inside)).drop("_k", "_b", "_off"))
 
 
@@ -121,7 +153,7 @@ def hash_cutoffs(df: DataFrame, key: str, quota: Callable[[Column], Column], by:
                  seed: int = 42) -> DataFrame:
     """Per group the last (order key, key) among the first ``quota(n)`` rows: (by..., n, cut_k, cut_id).
 
-    Counts per hash bucket tell in which bucket the cut lies, so only 1/4096 of a group is sorted. Groups whose
+    Counts per hash bucket tell in which bucket the cut lies, so only 1/65536 of a group is sorted. Groups whose
     quota is 0 have null cuts.
     """
     rows = (df.select(*by, F.col(key).alias("_id")).withColumn("_k", order_key("_id", seed))

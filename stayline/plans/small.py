@@ -5,21 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 ROW_LIMIT = 10_000
 
 
+def fetch(df: DataFrame, limit: int = ROW_LIMIT) -> list[Row] | None:
+    """The rows of a per-group result, or None when there are more than ``limit``."""
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
 def settle(df: DataFrame, limit: int = ROW_LIMIT) -> DataFrame:
     """Compute a per-group result once and mark it for broadcast if it has at most ``limit`` rows.
 
     A larger result is handed back as it was and joins through a shuffle.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return settled(df, fetch(df, limit))
+
+
+def settled(df: DataFrame, rows: list[Row] | None) -> DataFrame:
+    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def join_groups(df: DataFrame, stats: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:

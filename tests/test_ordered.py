@@ -22,18 +22,19 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, g string, x double, y double").repartition(5).cache()
 
 
-@pytest.mark.parametrize("buckets", [2, 16, 1024])
-def test_quantiles(skewed, buckets):
+@pytest.mark.parametrize("buckets,cell_rows", [(2, 10**6), (16, 10**6), (1024, 10**6), (4, 20), (2, 1)])
+def test_quantiles(skewed, buckets, cell_rows):
     pdf = skewed.toPandas().dropna(subset=["x"])
     probs = [0.0, 0.1, 0.25, 0.5, 0.8, 1.0]
-    got = {r["column"]: r for r in ordered.exact_quantiles(skewed, ["x", "y"], probs, buckets=buckets).collect()}
+    got = {r["column"]: r for r in ordered.exact_quantiles(
+        skewed, ["x", "y"], probs, buckets=buckets, cell_rows=cell_rows).collect()}
     assert got["x"]["n"] == len(pdf)
     assert got["x"]["q"] == pytest.approx(list(np.quantile(pdf["x"], probs)))
     assert got["y"]["q"] == pytest.approx(list(np.quantile(skewed.toPandas()["y"], probs)))
 
 
 def test_quantiles_by_group(skewed):
-    got = {r["g"]: r["q"] for r in ordered.exact_quantiles(skewed, ["x"], [0.25, 0.5], ["g"]).collect()}
+    got = {r["g"]: r["q"] for r in ordered.exact_quantiles(skewed, ["x"], [0.25, 0.5], ["g"], 8, 30).collect()}
     pdf = skewed.toPandas().dropna(subset=["x"])
     for g in ("big", "small", None):
         part = pdf[pdf["g"].isna()] if g is None else pdf[pdf["g"] == g]
