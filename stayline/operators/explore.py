@@ -41,13 +41,20 @@ def _unpivot(row: DataFrame, columns: Sequence[str], measures: Sequence[str]) ->
         F.struct(F.lit(c).alias("column"), *[F.col(f"`{m}|{c}`").alias(m) for m in measures]) for c in columns])))
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample deviation, minimum, exact quartiles, maximum per numeric column."""
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """count, mean, sample deviation, minimum, quartiles, maximum per numeric column.
+
+    ``exact=False`` takes the quartiles from a sketch in the same single pass.
+    """
     cols = list(columns or numeric_columns(df))
     x = {c: F.col(c).cast("double") for c in cols}
-    row = df.agg(*[f(x[c]).alias(f"{m}|{c}") for c in cols for m, f in (
-        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
-    basic = _unpivot(row, cols, ["count", "mean", "std", "min", "max"])
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if not exact:
+        measures |= {n: (lambda c, p=p: F.percentile_approx(c, p)) for n, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))}
+    row = df.agg(*[f(x[c]).alias(f"{m}|{c}") for c in cols for m, f in measures.items()])
+    basic = _unpivot(row, cols, list(measures))
+    if not exact:
+        return basic.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
     quart = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).select(
         "column", *[F.element_at("q", i + 1).alias(n) for i, n in enumerate(["q25", "q50", "q75"])])
     return join_groups(basic, settle(quart), ["column"], "left").select(
@@ -105,25 +112,29 @@ def _types(df: DataFrame) -> DataFrame:
                                            "column string, dtype string")
 
 
+def _column_facts(df: DataFrame, listed: int) -> DataFrame:
+    """(column, dtype, non_null, nulls, total, n_unique, first_values) from one count of values per column."""
+    counts = _long_counts(df, df.columns)
+    facts = counts.groupBy("column").agg(F.count("*").alias("n_unique"), F.sum("n").alias("non_null"))
+    total = df.agg(F.count("*").alias("total"))
+    non_null = F.coalesce("non_null", F.lit(0))
+    return (_types(df).join(facts, "column", "left").join(_first_values(counts, listed), "column", "left")
+            .withColumn("total", total.scalar())
+            .select("column", "dtype", non_null.alias("non_null"), (F.col("total") - non_null).alias("nulls"), "total",
+                    F.coalesce("n_unique", F.lit(0)).alias("n_unique"), "first_values"))
+
+
 def column_report(df: DataFrame, listed: int = 10) -> DataFrame:
     """Type, nulls, distinct values, and the values themselves where fewer than ``listed``."""
-    counts = _long_counts(df, df.columns)
-    unique = counts.groupBy("column").agg(F.count("*").alias("n_unique"))
-    shown = _first_values(counts, listed)
-    return (_types(df).join(null_counts(df).drop("null_pct"), "column").join(unique, "column", "left")
-            .join(shown, "column", "left")
-            .select("column", "dtype", "nulls", F.coalesce("n_unique", F.lit(0)).alias("n_unique"),
-                    F.when(F.col("n_unique") < listed, F.col("first_values")).alias("distinct_values")))
+    return _column_facts(df, listed).select(
+        "column", "dtype", "nulls", "n_unique", F.when(F.col("n_unique") < listed, F.col("first_values")).alias("distinct_values"))
 
 
 def profile(df: DataFrame, samples: int = 3) -> DataFrame:
     """Type, non-null count, null percentage, distinct values and the first few of them per column."""
-    counts = _long_counts(df, df.columns)
-    unique = counts.groupBy("column").agg(F.count("*").alias("n_unique"), F.sum("n").alias("non_null"))
-    return (_types(df).join(null_counts(df), "column").join(unique, "column", "left")
-            .join(_first_values(counts, samples), "column", "left")
-            .select("column", "dtype", F.coalesce("non_null", F.lit(0)).alias("non_null"), "null_pct",
-                    F.coalesce("n_unique", F.lit(0)).alias("n_unique"), F.col("first_values").alias("samples")))
+    return _column_facts(df, samples).select(
+        "column", "dtype", "non_null", safe_ratio(F.col("nulls") * 100, "total").alias("null_pct"), "n_unique",
+        F.col("first_values").alias("samples"))
 
 
 def binary_check(df: DataFrame, columns: Sequence[str] = tuple(S.BINARY_COLUMNS)) -> DataFrame:

@@ -129,3 +129,19 @@ def test_histogram_of_constant(spark):
 
 def test_histogram_of_nothing(spark):
     assert explore.histogram(spark.createDataFrame([], "x double"), "x").count() == 0
+
+
+def test_sketched_quartiles_are_close(spark):
+    df = spark.range(1, 10001).select(F.col("id").cast("double").alias("x"))
+    exact, rough = (explore.describe_numeric(df, ["x"], exact=e).first() for e in (True, False))
+    assert exact["count"] == rough["count"] == 10000 and exact["q50"] == 5000.5
+    assert all(abs(exact[q] - rough[q]) < 20 for q in ("q25", "q50", "q75"))
+
+
+def test_profile_of_an_all_null_column(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b")], "x double, s string")
+    rows = {r["column"]: r for r in explore.profile(df).collect()}
+    assert (rows["x"]["non_null"], rows["x"]["null_pct"], rows["x"]["n_unique"], rows["x"]["samples"]) == (0, 100.0, 0, None)
+    assert rows["s"]["samples"] == "a,b"
+    report = {r["column"]: r for r in explore.column_report(df).collect()}
+    assert report["x"]["nulls"] == 2 and report["s"]["distinct_values"] == "a,b"
