@@ -13,7 +13,7 @@ from stayline.operators import clean, features
 from stayline.plans.durable import work_path
 from stayline.sources import tables
 from stayline.sources.fixtures import messages, scored, subscribers, table
-from stayline.streaming.messages import decode, undecodable
+from stayline.streaming.messages import count_window, decode, undecodable
 
 SUB = ("subscribers",)
 COLUMNS = ", ".join(f.name for f in S.subscriber_schema().fields)
@@ -78,7 +78,6 @@ def dead_letters(spark, sf):
 select cast(floor(event_id / 100) as bigint) as chunk, count(*) as messages, min(event_id) as first_id, max(event_id) as last_id
 from messages group by 1""", ("messages",))
 def replay_chunks(spark, sf):
-    from stayline.streaming.messages import count_window
     return messages(spark, sf).groupBy(count_window("event_id", 100).alias("chunk")).agg(
         F.count("*").alias("messages"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 

@@ -10,6 +10,8 @@ from stayline.catalog.registry import query, rounded
 from stayline.functions.scalars import iso_timestamp
 from stayline.operators import business, metrics, sampling, scoring
 from stayline.operators.explain import linear_contributions
+from stayline.plans.ordered import exact_quantiles
+from stayline.plans.small import join_groups, settle
 from stayline.sources.fixtures import model_scores, scored, subscribers, table
 from stayline.streaming.messages import drop_replays, latency
 
@@ -189,8 +191,8 @@ def clv(spark, sf):
 
 
 @query("retention_roi", """, s as (select Contract, count(*) filter (Churn = 'Yes') as churners, count(*) filter (Churn = 'Yes' and tenure >= 12) as saved,
-  50.0 * count(*) filter (Churn = 'Yes' and Contract <> 'Two year') as cost from subscribers group by 1)
-select Contract, churners, round(churners * 1380.0, 6) as churn_cost, saved, cost,
+  50.0::double * count(*) filter (Churn = 'Yes' and Contract <> 'Two year') as cost from subscribers group by 1)
+select Contract, churners, round(churners * 1380.0::double, 6) as churn_cost, saved, cost,
   case when cost = 0 then 'infinite' else cast(round((saved * 1380.0 - cost) / cost * 100) as bigint)::varchar end as roi_pct from s""", SUB)
 def retention_roi(spark, sf):
     lost = F.col("Churn") == "Yes"
@@ -239,8 +241,6 @@ with t as (select event_type, epoch_us(ts) us, 1000 * (event_id % 977) + 250000
 select event_type, count(*) as messages, round(avg(lag_us / 1e6), 6) as mean_s, round(quantile_cont(lag_us / 1e6, 0.5), 6) as p50_s,
   round(quantile_cont(lag_us / 1e6, 0.95), 6) as p95_s, round(max(lag_us / 1e6), 6) as max_s from t group by 1""")
 def latency_stats(spark, sf):
-    from stayline.plans.ordered import exact_quantiles
-    from stayline.plans.small import join_groups, settle
     events = table(spark, sf, "events")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     rows = events.withColumn("processed_ts", F.timestamp_micros(micros + 250000 + 1000 * (F.col("event_id") % 977))).select(

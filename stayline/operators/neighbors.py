@@ -11,6 +11,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heappop, heappush
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -39,27 +41,26 @@ class Leaves:
     def build(sample: np.ndarray, wanted: int) -> Leaves:
         """Halve the fullest box at the median of its widest column until there are enough."""
         dims = sample.shape[1]
-        boxes = [(sample, np.full(dims, -np.inf), np.full(dims, np.inf))]
+        order = count()
+        boxes = [(-len(sample), next(order), sample, np.full(dims, -np.inf), np.full(dims, np.inf))]
         done = []
         while boxes and len(boxes) + len(done) < wanted:
-            boxes.sort(key=lambda b: len(b[0]))
-            rows, low, high = boxes.pop()
-            spread = rows.max(axis=0) - rows.min(axis=0) if len(rows) else np.zeros(dims)
-            axis = int(spread.argmax())
-            at = float(np.median(rows[:, axis])) if len(rows) else 0.0
+            box = heappop(boxes)
+            rows, low, high = box[2:]
+            axis = int((rows.max(axis=0) - rows.min(axis=0)).argmax()) if len(rows) else 0
+            values = np.unique(rows[:, axis])
+            if len(values) < 2:  # nothing left to cut
+                done.append(box)
+                continue
+            # The cut is a value above the smallest one, so both halves hold rows.
+            at = float(values[max(1, np.searchsorted(values, np.median(rows[:, axis])))])
             left = rows[:, axis] < at
-            if not left.any():  # the median is the minimum: cut just above it
-                above = rows[rows[:, axis] > at, axis]
-                if not len(above):
-                    done.append((rows, low, high))
-                    continue
-                at = float(above.min())
-                left = rows[:, axis] < at
             cut_high, cut_low = high.copy(), low.copy()
             cut_high[axis], cut_low[axis] = at, at
-            boxes += [(rows[left], low, cut_high), (rows[~left], cut_low, high)]
+            for part, lo, hi in ((rows[left], low, cut_high), (rows[~left], cut_low, high)):
+                heappush(boxes, (-len(part), next(order), part, lo, hi))
         boxes += done
-        return Leaves(np.array([b[1] for b in boxes]), np.array([b[2] for b in boxes]))
+        return Leaves(np.array([b[3] for b in boxes]), np.array([b[4] for b in boxes]))
 
     def distance2(self, points: np.ndarray) -> np.ndarray:
         """Squared distance from each point to each box; 0 inside or on the edge."""

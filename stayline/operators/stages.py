@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.functions.binning import cut
 from stayline.functions.scalars import clip
-from stayline.operators.clean import clean_subscribers, modes
+from stayline.operators.clean import clean_subscribers, coerce_numeric, modes
 from stayline.operators.features import engineer, iqr_bounds
 from stayline.plans.ordered import exact_quantiles
 
@@ -77,7 +77,6 @@ class SubscriberFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritab
     def _transform(self, dataset: DataFrame) -> DataFrame:
         if self.getOrDefault(self.dropIncomplete):
             return engineer(clean_subscribers(dataset))
-        from stayline.operators.clean import coerce_numeric
         return engineer(coerce_numeric(dataset, S.NUMERIC_FEATURES))
 
 

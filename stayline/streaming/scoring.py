@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stayline import schema as S
-from stayline.operators.scoring import envelope, predictions
+from stayline.operators.scoring import envelope, positive_probability, predictions
 from stayline.streaming.messages import route
 from stayline.streaming.sinks import Sink
 
@@ -22,7 +22,6 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 def score_with_model(model, df: DataFrame) -> DataFrame:
     """``score`` from a fitted classifier pipeline."""
-    from stayline.operators.scoring import positive_probability
     return model.transform(df).withColumn("score", positive_probability())
 
 
