@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from stayline.llm import line_dedup, mixing  # noqa: F401
+from stayline.llm import line_dedup, mixing, token_files  # noqa: F401
 from stayline.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
