@@ -116,3 +116,17 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
 
 def sha_hex(column: Column | str) -> Column:
     return F.sha2(F.col(column) if isinstance(column, str) else column, 256)
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose text takes at most ``limit`` bytes, or one row each beyond that."""
+    texts = batch.column(column)
+    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in texts], np.int64)
+    start = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if size + n > limit and i > start:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
