@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ END_ID = 1
 NULL_KEY = -(1 << 63)
 LEVELS = 32
 ROOM = 2  # bits per key in a level
+SIGNS = ".,;:!?$%&#*|"  # ASCII signs that end a word; not the apostrophe, which binds letters
 
 
 # ---------------------------------------------------------------------------------------------- minimal perfect hash
@@ -151,12 +153,13 @@ class Shard:
 
 # ------------------------------------------------------------------------------------------------------- encoding
 
+@lru_cache(maxsize=2)
 def encoder(path: str):
-    """Text to ids as bytes of unsigned ``width``-byte integers, and the width.
+    """Text to ids as bytes of unsigned ``width``-byte integers, and the width. One per Python worker.
 
-    Between runs of spaces and line ends nothing of this kind of vocabulary reaches across, so pieces of text are
-    encoded by the library once and remembered. Whether that holds is looked up in the tokenizer's own settings;
-    otherwise whole texts are encoded.
+    Nothing of this kind of vocabulary reaches across a space, a line end, or the border of a letter and a sign, so
+    pieces of text are encoded by the library once and remembered, also from task to task. Whether that holds is looked
+    up in the tokenizer's own settings; otherwise whole texts are encoded.
     """
     import json
 
@@ -173,7 +176,15 @@ def encoder(path: str):
 
     if not _splits_at_space(settings):
         return lambda text: encode(text) if text else b"", width
-    memo = Memo(encode)
+    cores = Memo(encode)
+
+    def piece(chunk: str) -> bytes:
+        core = chunk.rstrip(SIGNS)
+        if core and core != chunk and core[-1].isalpha():
+            return cores[core] + cores[chunk[len(core):]]
+        return encode(chunk)
+
+    memo = Memo(piece)
 
     def whole(text: str | None) -> bytes:
         if not text:
@@ -284,7 +295,7 @@ def read_tokens(keys: DataFrame, folder: str, manifest: DataFrame) -> DataFrame:
                     ["doc_id", "shard", "start", "n_tokens", "ids_crc32"])
 
     wanted = keys.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("key")).distinct()
-    return (wanted.mapInArrow(place, "key long, at int").repartition("at").sortWithinPartitions("at", "key")
+    return (wanted.mapInArrow(place, "key long, at int").repartition(max(1, len(shards)), "at").sortWithinPartitions("at", "key")
             .mapInArrow(look_up, "doc_id long, shard int, start long, n_tokens long, ids_crc32 long"))
 
 
