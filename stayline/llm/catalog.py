@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from stayline.llm import fingerprints, line_dedup, mixing, sentencepiece_fst, token_files  # noqa: F401
+from stayline.llm import fingerprints, line_dedup, mixing, quality, sentencepiece_fst, token_files  # noqa: F401
 from stayline.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
