@@ -11,9 +11,9 @@ Compiled from a .model file, three machines are composed with each text:
   is the library's result. A unigram model has no such acceptor.
 
 The path is the shortest one in the tropical semiring (costs add along a path, the least one wins; of equal costs the
-path whose last piece starts first), found left to right in time linear in the text. Where no piece holds white space
-after another character, every path runs through the state before that space, so the stretches between are solved once
-each and remembered.
+path whose last piece starts first), found left to right in time linear in the text. Where no piece holds two neighbouring
+characters, every path runs through the state between them and nothing before it matters after it. The stretches between
+such cuts (words, their end signs, ...) are solved once each and remembered.
 
 Defined results: a null text gives null ids, an empty one no ids; the escape character itself reads as a space; ids of
 unknown text without byte fallback are the unknown id. Decoding gives back the normalised text.
@@ -46,7 +46,7 @@ STOP = object()
 class PieceTransducer:
     """Pieces, ranks and settings of one model; see the module's text."""
 
-    def __init__(self, path: str, memory: int = 400_000):
+    def __init__(self, path: str, memory: int = 500_000):
         from sentencepiece import sentencepiece_model_pb2 as format_
 
         model = format_.ModelProto()
@@ -70,11 +70,13 @@ class PieceTransducer:
         self.arcs.update((p, -self.scores[i]) for p, i in self.spelled.items())
         self.longest = max(map(len, self.spelled), default=1)
         self.beyond = min(self.scores[i] for i in self.spelled.values()) - UNKNOWN_PENALTY if self.spelled else 0.0
-        self.cuts_at_space = not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.spelled)
+        # neighbouring characters that some piece holds; between others every path passes a state of its own
+        self.joined = {p[i:i + 2] for p in self.spelled for i in range(len(p) - 1)}
+        self.cuts_at_space = not any(pair[1] == SPACE != pair[0] for pair in self.joined)
         self.pairs = Memo(self._may_follow, memory)
         self.halves, self.ordered = Memo(self._halves, memory), Memo(self._in_order, memory)
         self.stable = Memo(lambda piece: len(piece) == 1 or self._merged(piece) == [piece], memory)
-        self.solved = Memo(lambda part: np.array(self.shortest_path(part), "<i4").tobytes(), memory)
+        self.solved = Memo(self._solve, 2 * memory)
         self.stretch = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
     # ---- normaliser
@@ -188,6 +190,13 @@ class PieceTransducer:
             at = back[at]
         return [i for part in reversed(ids) for i in part]
 
+    def _solve(self, part: str) -> bytes:
+        """Ids of a stretch, put together from its stretches between cuts."""
+        cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in self.joined]
+        if not cuts:
+            return np.array(self.shortest_path(part), "<i4").tobytes()
+        return b"".join([self.solved[part[a:b]] for a, b in zip([0, *cuts], [*cuts, len(part)])])
+
     def _ids(self, piece: str) -> list[int]:
         found = self.spelled.get(piece)
         if found is not None:
@@ -203,7 +212,7 @@ class PieceTransducer:
         if not text:
             return b""
         if not self.cuts_at_space:
-            return np.array(self.shortest_path(self.normalise(text)), "<i4").tobytes()
+            return self._solve(self.normalise(text))
         if self.shrink or "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
             return b"".join(map(self.solved.__getitem__, self.stretch.findall(self.normalise(text))))
         first, *rest = text.split(" ")
