@@ -67,7 +67,7 @@ if __name__ == "__main__":
             else:
                 state = f"rows {len(queries[name](spark, sf).collect())}"
         except Exception as e:  # a report, not a test
-            state = "ERROR " + str(e)[:600]
+            state = "ERROR " + str(e)[:1500]
         bad += state.startswith(("DIFF", "ERROR"))
         print(f"{time.time() - start:6.2f}s {name}: {state}", flush=True)
     print("bad", bad)
