@@ -24,17 +24,17 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm.common import Memo, as_long, documents, hash_word, mix, window_hashes, word_hashes, words
 from stayline.llm.registry import query
-from stayline.llm.text_keys import doc_value, is_present, keyed, presence_map, word_table, written
+from stayline.llm.text_keys import doc_value, is_present, keyed, presence_map, searched_texts, written
 
 WINDOW = 13
 GRAM = 4
-COPIES = 1_000_000  # ids of copies that may be broadcast
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -120,17 +120,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
     """(words, cut): the word table of all rows with ``first``, the smallest id with the same words, and the rows of
     ``cut_rows`` for texts that lose words to another text. Rows with a smaller ``first`` lose all words."""
     spark = docs.sparkSession
-    rows = keyed(docs)
-    table = written(word_table(rows), "words")
-    firsts = table.groupBy("node", "words_sha256").agg(F.min("doc").alias("first"), F.count("*").alias("alike"))
-    shared_words = firsts.where("alike > 1").select(F.col("words_sha256").alias("same"), "first")
-    table = written(table.join(shared_words, F.col("words_sha256") == F.col("same"), "left")
-                    .withColumn("first", F.coalesce("first", "doc")).drop("same"), "words")
-    copies = table.where("doc > first").select(F.col("doc").alias("copy_doc"), F.col("tkey").alias("copy_key"))
-    searched = rows
-    if copies.count() <= COPIES:  # else they take part, to the same result
-        searched = rows.join(F.broadcast(copies), (F.col("doc") == F.col("copy_doc")) & (F.col("tkey") == F.col("copy_key")),
-                             "left_anti")
+    table, searched = searched_texts(keyed(docs))
     # seeds
     shared = written(anchor_rows(searched, window, gram).groupBy("anchor")
                      .agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("anchor"), "anchors")
@@ -142,8 +132,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
     near = spark.sparkContext.broadcast(presence_map(seeds.select(place.alias("at")), "at"))
 
     @F.pandas_udf("boolean")
-    def maybe(at):
-        import pandas as pd
+    def maybe(at: pd.Series) -> pd.Series:
         return pd.Series(is_present(near.value, at.to_numpy().view(np.uint64)))
 
     moved = searched.where(maybe(place))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import words
+from stayline.llm.common import mix, words
 from stayline.plans.durable import work_path
 
 NULL_DOC = (1 << 63) - 1  # null ids come after all others
@@ -82,3 +82,31 @@ def is_present(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the unsigned hashes the map lets through."""
     place = hashes & np.uint64(len(found) * 64 - 1)
     return (found[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+COPIES = 1_000_000  # ids of copies that may be broadcast
+
+
+def searched_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(table, searched) of (doc, tkey, text): the word table with ``first``, the smallest id with the same words, and
+    the rows without those that copy a smaller id.
+
+    While the ids of copies are few enough to broadcast, copies are left out here; beyond that they take part in the
+    search as well, to the same result.
+    """
+    table = written(word_table(rows), "words")
+    alike = (table.groupBy("words_sha256").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
+             .select(F.col("words_sha256").alias("same"), "first"))
+    table = written(table.join(alike, F.col("words_sha256") == F.col("same"), "left")
+                    .withColumn("first", F.coalesce("first", "doc")).drop("same"), "words")
+    copies = table.where("doc > first").select(F.col("doc").alias("copy_doc"), F.col("tkey").alias("copy_key"))
+    if copies.count() > COPIES:
+        return table, rows
+    same = (F.col("doc") == F.col("copy_doc")) & (F.col("tkey") == F.col("copy_key"))
+    return table, rows.join(F.broadcast(copies), same, "left_anti")
+
+
+def mixed(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """One 64-bit hash of two."""
+    with np.errstate(over="ignore"):
+        return mix(mix(a) * np.uint64(0x9E3779B97F4A7C15) + (np.uint64(b) if isinstance(b, int) else b.astype(np.uint64)))
