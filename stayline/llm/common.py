@@ -16,7 +16,7 @@ from stayline.plans.durable import cut_lineage
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-CACHE = 500_000
+CACHE = 400_000
 BROADCAST_ROWS = 100_000
 
 

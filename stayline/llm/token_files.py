@@ -18,7 +18,9 @@ rows with equal ids stand next to each other, ordered by text; an empty table ha
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import Memo, documents, mix
+from stayline.llm.common import CACHE, Memo, documents, mix
 from stayline.llm.registry import query
 from stayline.plans.durable import work_path
 
@@ -169,20 +171,24 @@ def encoder(path: str):
         settings = json.load(f)
     tokenizer = Tokenizer.from_file(path)
     width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
-    kind = np.dtype(f"<u{width}")
 
     def encode(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+        ids = array("H" if width == 2 else "I", tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     if not _splits_at_space(settings):
         return lambda text: encode(text) if text else b"", width
-    cores = Memo(encode)
+    lowers = any(n.get("type") == "Lowercase" for n in settings["normalizer"]["normalizers"])
+    cores = Memo(encode, 2 * CACHE)
 
     def piece(chunk: str) -> bytes:
         core = chunk.rstrip(SIGNS)
-        if core and core != chunk and core[-1].isalpha():
-            return cores[core] + cores[chunk[len(core):]]
-        return encode(chunk)
+        if not core or not core[-1].isalpha():
+            return encode(chunk)
+        tail = cores[chunk[len(core):]] if core != chunk else b""
+        return cores[core.lower() if lowers and core.isascii() else core] + tail
 
     memo = Memo(piece)
 
