@@ -159,13 +159,17 @@ select doc_id, cast(len(ws) as int) n_words, cast(len(ws) - len(kept) as int) n_
 """
 
 
-@query("op8_substring_dedup", OP8_SQL)
-def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's words, how many repeat a smaller document, and the digest of the rest."""
-    table, cut = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+def report(table: DataFrame, cut: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) of every row, from the two tables of ``remove_repeats``."""
     cut = cut.select("doc", "tkey", "n_removed", F.col("kept_sha256").alias("cut_sha256")).dropDuplicates(["doc", "tkey"])
-    copy = (F.col("doc") > F.col("first")) & (F.col("n_words") >= WINDOW)
+    copy = (F.col("doc") > F.col("first")) & (F.col("n_words") >= window)
     return table.join(cut, ["doc", "tkey"], "left").select(
         doc_value(F.col("doc")).alias("doc_id"), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(NOTHING)).otherwise(F.coalesce("cut_sha256", "words_sha256")).alias("kept_sha256"))
+
+
+@query("op8_substring_dedup", OP8_SQL)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, how many repeat a smaller document, and the digest of the rest."""
+    return report(*remove_repeats(documents(spark, sf_dir).select("doc_id", "text")))
