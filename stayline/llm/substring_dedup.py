@@ -34,7 +34,7 @@ from stayline.llm.registry import query
 from stayline.llm.text_keys import doc_value, is_present, keyed, presence_map, searched_texts, written
 
 WINDOW = 13
-GRAM = 4
+GRAM = 6  # words of a seed; shorter ones are shared by chance more often
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -75,7 +75,7 @@ def anchor_rows(rows: DataFrame, window: int, gram: int, wanted=None) -> DataFra
 
 
 def window_rows(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(h1, h2, doc, tkey, pos) of the windows of (doc, tkey, text, seeds) whose anchor is a seed."""
+    """(h1, h2, doc, row, pos) of the windows of (doc, row, text, seeds) whose anchor is a seed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _each(batches):
             parts, counts = [], []
@@ -88,9 +88,9 @@ def window_rows(rows: DataFrame, window: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [as_long(h1), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                  *[pa.array(np.repeat(batch.column(i).to_numpy(), counts)) for i in (0, 1)], pa.array(at.astype(np.int32))],
-                ["h1", "h2", "doc", "tkey", "pos"])
+                ["h1", "h2", "doc", "row", "pos"])
 
-    return rows.select("doc", "tkey", "text", "seeds").mapInArrow(run, "h1 long, h2 int, doc long, tkey long, pos int")
+    return rows.select("doc", "row", "text", "seeds").mapInArrow(run, "h1 long, h2 int, doc long, row long, pos int")
 
 
 def cut_rows(rows: DataFrame, window: int) -> DataFrame:
@@ -126,7 +126,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
                      .agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("anchor"), "anchors")
     wanted = spark.sparkContext.broadcast(presence_map(shared, "anchor"))
     seeds = written(anchor_rows(searched, window, gram, wanted).join(shared, "anchor", "left_semi")
-                    .groupBy("doc", "tkey").agg(F.collect_set("anchor").alias("seeds")), "seeds")
+                    .groupBy("doc", "tkey").agg(F.collect_set("anchor").alias("seeds"))
+                    .withColumn("row", F.monotonically_increasing_id()), "seeds")  # short row numbers, fixed by writing
     # extension
     place = F.xxhash64("doc", "tkey")
     near = spark.sparkContext.broadcast(presence_map(seeds.select(place.alias("at")), "at"))
@@ -140,8 +141,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
     found = written(window_rows(seeded, window, gram), "windows")
     first_at = (found.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
                 .where("low < high").select("h1", "h2", "low"))
-    repeats = (found.join(first_at, ["h1", "h2"]).where("doc > low").groupBy("doc", "tkey")
-               .agg(F.collect_list("pos").alias("starts")))
+    repeats = (found.join(first_at, ["h1", "h2"]).where("doc > low").groupBy("row").agg(F.collect_list("pos").alias("starts"))
+               .join(seeds.select("row", "doc", "tkey"), "row"))
     return table, cut_rows(moved.join(repeats, ["doc", "tkey"]), window)
 
 
