@@ -82,9 +82,16 @@ def replay_chunks(spark, sf):
         F.count("*").alias("messages"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 
 
-@query("sample_feed")
+@query("sample_feed", """, d as (select customerID,
+  cast(('0x' || substr(md5(concat(customerID, ':42')), 1, 8)) as bigint) / 4294967296.0 u from subscribers),
+t as (select customerID, unnest(range(0, case when u >= exp(-0.1) then 1 else 0 end + case when u >= exp(-0.1) * 1.1 then 1 else 0 end
+  + case when u >= exp(-0.1) * 1.105 then 1 else 0 end + case when u >= exp(-0.1) * (1.105 + 0.001 / 6) then 1 else 0 end
+  + case when u >= exp(-0.1) * (1.105 + 0.001 / 6 + 0.0001 / 24) then 1 else 0 end)) i from d)
+select customerID as "key", customerID as customer, tenure as tenure from t join subscribers using (customerID)""", SUB)
 def sample_feed(spark, sf):
-    return tables.sample_messages(subscribers(spark, sf).drop(S.TARGET), S.KEY, 0.1, iso_timestamp(edge_time()))
+    sent = tables.sample_messages(subscribers(spark, sf).drop(S.TARGET), S.KEY, 0.1, iso_timestamp(edge_time()))
+    return sent.select("key", F.get_json_object("value", "$.customerID").alias("customer"),
+                       F.get_json_object("value", "$.tenure").cast("int").alias("tenure"))
 
 
 # --- cleaning ----------------------------------------------------------------------------------------------------

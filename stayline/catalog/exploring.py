@@ -201,7 +201,9 @@ def headline_kpis(spark, sf):
     return rounded(explore.headline_kpis(subscribers(spark, sf)))
 
 
-@query("scatter_sample")
+@query("scatter_sample", """
+select tenure, MonthlyCharges, Churn from subscribers
+where cast(('0x' || substr(md5(concat(customerID, ':42')), 1, 8)) as bigint) / 4294967296.0 < 0.2""", ("subscribers",))
 def scatter_sample(spark, sf):
     return explore.scatter_sample(subscribers(spark, sf), ["tenure", "MonthlyCharges"], "Churn", 0.2)
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayline import schema as S
 from stayline.catalog.cleaning import edge_time
 from stayline.catalog.registry import query
+from stayline.functions.scalars import to_number
 from stayline.operators.scoring import Scorecard
 from stayline.plans.durable import work_path
-from stayline.sources.fixtures import messages_from_events, table
+from stayline.sources.fixtures import messages_from_events, subscribers, table
 from stayline.sources.tables import read_stream
-from stayline.streaming.progress import progress_table
+from stayline.streaming.progress import ProgressLog
 from stayline.streaming.scoring import dedup_stream, score_stream
 from stayline.streaming.sinks import read_sink, table_sink
 
@@ -68,9 +70,13 @@ def stream_score(spark, sf):
 @query("stream_progress", "select cast(0 as bigint) as batch_id, count(*) as input_rows from events")
 def stream_progress(spark, sf):
     out = work_path(spark, "progress")
+    log = ProgressLog(spark, f"{out}/progress")
+    spark.streams.addListener(log)
     handle = finished(event_stream(spark, sf).select("event_id").writeStream.format("parquet")
                       .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows"))
-    return progress_table(spark, handle).select("batch_id", "input_rows")
+    log.wait_for(handle)
+    spark.streams.removeListener(log)
+    return log.table().where("input_rows > 0").select("batch_id", "input_rows")
 
 
 @query("stream_dedup", "select distinct user_id, event_type, date_trunc('day', ts) as event_day from events")
@@ -81,3 +87,46 @@ def stream_dedup(spark, sf):
     finished(dedup_stream(daily, "event_day", "3650 days", ["user_id", "event_type"]).writeStream.format("parquet")
              .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows"))
     return spark.read.parquet(f"{out}/rows").withColumn("event_day", F.col("event_day").cast("timestamp_ntz"))
+
+
+SUBSCRIBER_CARD = Scorecard(1.0, {"tenure": -0.05, "MonthlyCharges": 0.01, "TotalCharges": 0.001})
+
+
+def subscriber_messages(spark, sf):
+    """Subscriber messages with quoted, blank, absent and broken fields, by the remainder of the key."""
+    sub = subscribers(spark, sf).where("tenure is not null and MonthlyCharges is not null")
+    k = F.col(S.KEY).cast("long")
+    total = (F.when(k % 7 == 1, "").when(k % 7 == 2, "  ").when(k % 7 == 3, "n/a")
+             .otherwise(F.col("TotalCharges")))
+    tenure = F.when(k % 5 == 0, F.concat(F.col("tenure").cast("string"), F.lit(".0"))).otherwise(F.col("tenure").cast("string"))
+    body = F.to_json(F.struct(S.KEY, tenure.alias("tenure"), "MonthlyCharges",
+                              F.when(k % 7 != 4, total).alias("TotalCharges")))
+    return sub.select(F.col(S.KEY).alias("key"), F.when(k % 11 == 0, F.lit("{cut")).otherwise(body).alias("value"))
+
+
+@query("stream_score_subscribers", """, m as (select customerID, cast(customerID as bigint) k, tenure, MonthlyCharges, trim(TotalCharges) t
+  from subscribers where tenure is not null and MonthlyCharges is not null),
+f as (select *, case when k % 7 in (1, 2, 4) or t = '' then 0.0 when k % 7 = 3 then null else try_cast(t as double) end total from m)
+select customerID as customer, case when k % 11 <> 0 and total is not null then
+    round(1.0 / (1.0 + exp(-(1.0 - 0.05 * tenure + 0.01 * MonthlyCharges + 0.001 * total))), 6) end as score,
+  case when k % 11 = 0 then 'value is not valid JSON' when total is null then 'TotalCharges is not numeric' end as error from f""",
+       ("subscribers",))
+def stream_score_subscribers(spark, sf):
+    """Blank and absent total charges count as 0 and are scored; text that is no number and cut messages are dead letters."""
+    out = work_path(spark, "subscribers")
+    subscriber_messages(spark, sf).write.parquet(f"{out}/in")
+    feed = read_stream(spark, "parquet", {}, spark.read.parquet(f"{out}/in").schema, f"{out}/in")
+    kind = T.StructType([S.subscriber_schema()[c] if c != "TotalCharges" else T.StructField(c, T.StringType())
+                         for c in (S.KEY, "tenure", "MonthlyCharges", "TotalCharges")] + [T.StructField("event_ts", T.StringType())])
+    finished(score_stream(feed, kind, ["tenure", "MonthlyCharges", "TotalCharges"], scored_subscribers, table_sink(out),
+                          f"{out}/checkpoint", edge_time, fill={"TotalCharges": "0"}))
+    sent = read_sink(spark, out, "predictions").select(
+        F.col("key").alias("customer"), F.get_json_object("value", "$.churn_probability").cast("double").alias("score"),
+        F.lit(None).cast("string").alias("error"))
+    return sent.unionByName(read_sink(spark, out, "dead_letters").select(
+        F.col("key").alias("customer"), F.lit(None).cast("double").alias("score"), "error"))
+
+
+def scored_subscribers(df):
+    numbers = df.withColumn("TotalCharges", to_number("TotalCharges"))
+    return SUBSCRIBER_CARD.score(numbers).withColumn("score", F.round("score", 6))

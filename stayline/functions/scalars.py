@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import exp
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,3 +65,13 @@ def unit_draw(key: Column | str, seed: int | str = 42) -> Column:
     """A reproducible number in [0, 1) per key, from the first 32 bits of the order key."""
     digest = F.md5(F.concat(as_col(key).cast("string"), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def poisson_count(draw: Column, mean: float) -> Column:
+    """The Poisson variate at a uniform draw: how many cumulative probabilities the draw reaches."""
+    steps, chance, below = [], exp(-mean), exp(-mean)
+    while len(steps) < mean or chance > 1e-12:
+        steps.append(F.when(draw >= below, 1).otherwise(0))
+        chance *= mean / len(steps)
+        below += chance
+    return sum(steps, F.lit(0))

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline import schema as S
-from stayline.functions.scalars import safe_ratio
+from stayline.functions.scalars import safe_ratio, unit_draw
 from stayline.operators.clean import non_numeric, numeric_columns, quantile_value, text_columns
-from stayline.operators.features import categories
 from stayline.plans.ordered import exact_quantiles
 from stayline.plans.small import join_groups, settle
 
@@ -149,15 +148,22 @@ def non_numeric_count(df: DataFrame, column: str) -> DataFrame:
 
 
 def crosstab(df: DataFrame, a: str, b: str, values: Sequence[str] | None = None) -> DataFrame:
-    """Counts of b's values per value of a, rows with a null left out."""
-    wanted = list(values) if values is not None else categories(df, b)
+    """Counts of b's values per value of a, rows with a null left out.
+
+    With ``values`` a column for each of them, else one row (a, b, n) per pair that occurs, however many there are.
+    """
     present = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return present.groupBy(a).agg(*[F.count_if(F.col(b) == v).alias(v) for v in wanted])
+    if values is None:
+        return present.groupBy(a, b).agg(F.count("*").alias("n"))
+    return present.groupBy(a).agg(*[F.count_if(F.col(b) == v).alias(v) for v in values])
 
 
 def crosstab_pct(df: DataFrame, a: str, b: str, values: Sequence[str] | None = None) -> DataFrame:
-    """The same in percent of the row."""
+    """The same in percent of the row; without ``values`` as (a, b, pct)."""
     counts = crosstab(df, a, b, values)
+    if values is None:
+        share = F.col("n") * 100.0 / F.sum("n").over(W.partitionBy(a))  # one row per pair
+        return counts.select(a, b, share.alias("pct"))
     wanted = counts.columns[1:]
     total = sum((F.col(f"`{v}`") for v in wanted), F.lit(0))
     return counts.select(a, *[(F.try_divide(F.col(f"`{v}`") * 100.0, total)).alias(v) for v in wanted])
@@ -242,5 +248,7 @@ def headline_kpis(df: DataFrame, p: float = 0.8) -> DataFrame:
                   F.avg("tenure").alias("mean_tenure"), F.avg("MonthlyCharges").alias("mean_charge"))
 
 
-def scatter_sample(df: DataFrame, columns: Sequence[str], hue: str, fraction: float, seed: int = S.SEED) -> DataFrame:
-    return df.select(*columns, hue).sample(fraction=fraction, seed=seed)
+def scatter_sample(df: DataFrame, columns: Sequence[str], hue: str, fraction: float, seed: int = S.SEED,
+                   key: str = S.KEY) -> DataFrame:
+    """Points for a plot. Which rows are drawn follows from key and seed, not from how the table is split."""
+    return df.where(unit_draw(key, seed) < fraction).select(*columns, hue)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from stayline import schema as S
 from stayline.functions.binning import tenure_bin
 from stayline.functions.scalars import clip, count_equal, count_not_equal, safe_ratio
 from stayline.operators.clean import any_of, clean_subscribers
-from stayline.plans.ordered import exact_quantiles
+from stayline.plans.ordered import exact_quantiles, global_rank
 from stayline.plans.small import join_groups, settle
 
 
@@ -102,19 +103,29 @@ def minmax(df: DataFrame, columns: Sequence[str], suffix: str = "_01") -> DataFr
     return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
 
 
-def categories(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Distinct non-null values in order. Meant for categorical columns: more than ``limit`` raises."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} categories; index or hash it instead")
-    return sorted(r[0] for r in rows)
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """(column, _place): distinct non-null values with their alphabetical position, numbered across tasks."""
+    return global_rank(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], "_place")
+
+
+def categories(df: DataFrame, column: str) -> list[str]:
+    """Distinct non-null values in order, for results that have a column per value."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def string_index(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Position in alphabetical order; null and unseen values get the number after the last."""
-    known = categories(df, column)
-    chain = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in known]), F.col(column)), F.lit(0))
-    return df.withColumn(out, F.when(chain > 0, chain - 1).otherwise(len(known)).cast("double"))
+    """Position in alphabetical order; null gets the number after the last. Any number of values: positions are joined."""
+    places = category_table(df, column)
+    return join_groups(df, places, [column], "left").withColumn(
+        out, F.coalesce("_place", F.lit(places.count())).cast("double")).drop("_place")
+
+
+def one_hot_vector(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Sparse 0/1 vector with a slot per category, for columns with too many values for a column each; null is all zeros."""
+    known = category_table(df, column).count()
+    encoder = OneHotEncoder(inputCol="_index", outputCol=out, dropLast=True)
+    sized = encoder.fit(df.sparkSession.createDataFrame([(float(known),)], "_index double"))  # the last slot is for null
+    return sized.transform(string_index(df, column, "_index")).drop("_index")
 
 
 def one_hot_columns(df: DataFrame, column: str, drop_first: bool = False) -> DataFrame:

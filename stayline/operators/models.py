@@ -38,14 +38,13 @@ DEFAULTS = {
 # --- End of fixed values ---
 CLASSES = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier, "dt": DecisionTreeClassifier}
 ROWS_PER_TASK = 2000  # below this a training task is mostly overhead
-DEEPEST = 30  # Spark's limit, used for "no limit"
 
 
 def classifier(name: str, weight: str | None = None, **params: object) -> Estimator:
     """lr, rf, gbt or dt with the default settings, overridden by ``params``."""
     settings = {**DEFAULTS[name], **params}
     if settings.get("maxDepth", 0) is None:
-        settings["maxDepth"] = DEEPEST
+        raise ValueError("maxDepth=None (no limit) does not exist in Spark ML: give a depth of at most 30")
     if weight:
         settings["weightCol"] = weight
     return CLASSES[name](featuresCol="features", labelCol="label", **settings)

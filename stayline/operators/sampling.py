@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.functions.scalars import order_key, unit_draw
 from stayline.plans.ordered import global_rank, hash_rank, mark_first
+from stayline.plans.small import join_groups
 
 
 def split_hash(df: DataFrame, key: str, share: float = S.TEST_SHARE, seed: int = S.SEED) -> DataFrame:
@@ -55,46 +56,43 @@ def folds_time(df: DataFrame, order: Sequence[str], k: int = S.CV_FOLDS, out: st
     return ranked.withColumn(out, block.cast("int")).drop("_rank")
 
 
-CLASS_LIMIT = 1000
+def class_table(df: DataFrame, label: str) -> DataFrame:
+    """(label, _n) rows per class. A null label is no class."""
+    return df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n"))
 
 
 def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows per class. A column with more than ``CLASS_LIMIT`` values is no class label and raises."""
-    rows = df.groupBy(label).agg(F.count("*").alias("n")).limit(CLASS_LIMIT + 1).collect()
-    if len(rows) > CLASS_LIMIT:
-        raise ValueError(f"{label} has more than {CLASS_LIMIT} classes")
-    return {r[0]: r[1] for r in rows}
+    """Rows per class on the driver, for work that goes class by class."""
+    return {r[0]: r[1] for r in class_table(df, label).collect()}
 
 
 def oversample(df: DataFrame, key: str, label: str, seed: int = S.SEED) -> DataFrame:
     """Repeat rows until every class is as large as the largest; which rows get the extra copy follows the hash.
 
-    Column ``copy`` counts from 0; copy 0 is the original.
+    Column ``copy`` counts from 0; copy 0 is the original. Rows with a null label come back once.
     """
-    sizes = class_sizes(df, label)
-    target = max(sizes.values(), default=0)
+    sizes = class_table(df, label)
+    target = sizes.agg(F.max("_n")).first()[0] or 0
     rest = mark_first(df, key, lambda n: F.pmod(F.lit(target), n), [label], seed, "_extra")
-    whole = F.lit(1)
-    for value, n in sizes.items():
-        whole = F.when(F.col(label).eqNullSafe(F.lit(value)), target // n).otherwise(whole)
-    copies = rest.withColumn("_copies", whole + F.col("_extra").cast("int"))
-    return copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_extra", "_copies")
+    wanted = F.floor(F.lit(target) / F.col("_n")).cast("int") + F.col("_extra").cast("int")
+    copies = join_groups(rest, sizes, [label], "left").withColumn("_copies", F.coalesce(wanted, F.lit(1)))
+    return copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_extra", "_copies", "_n")
 
 
 def undersample(df: DataFrame, key: str, label: str, seed: int = S.SEED) -> DataFrame:
-    """Keep as many rows of each class as the smallest has."""
-    target = min(class_sizes(df, label).values(), default=0)
-    return mark_first(df, key, lambda n: F.lit(target), [label], seed, "_keep").where("_keep").drop("_keep")
+    """Keep as many rows of each class as the smallest has. Rows with a null label come back unchanged."""
+    target = class_table(df, label).agg(F.min("_n")).first()[0] or 0
+    marked = mark_first(df, key, lambda n: F.lit(target), [label], seed, "_keep")
+    return marked.where(F.col("_keep") | F.col(label).isNull()).drop("_keep")
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Balanced weights n / (classes * n_class)."""
-    sizes = class_sizes(df, label)
-    total, k = float(sum(sizes.values())), len(sizes)
-    weight = F.lit(None).cast("double")
-    for value, n in sizes.items():
-        weight = F.when(F.col(label).eqNullSafe(F.lit(value)), total / (n * k)).otherwise(weight)
-    return df.withColumn(out, weight)
+    """Balanced weights n / (classes * n_class); null for a null label, which counts nowhere."""
+    sizes = class_table(df, label)
+    every = sizes.agg(F.sum("_n").cast("double").alias("_total"), F.count("*").alias("_classes"))
+    weights = join_groups(sizes, every, []).select(
+        label, (F.col("_total") / (F.col("_n") * F.col("_classes"))).alias(out))
+    return join_groups(df, weights, [label], "left")
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = S.SEED) -> DataFrame:

@@ -179,7 +179,8 @@ class BalancedWeights(Estimator, HasLabelCol, HasWeightCol, DefaultParamsReadabl
         self._set(labelCol=labelCol, weightCol=weightCol)
 
     def _fit(self, dataset: DataFrame) -> BalancedWeightsModel:
-        sizes = {str(r[0]): r[1] for r in dataset.groupBy(F.col(self.getLabelCol()).cast("double")).count().collect()}
+        label = F.col(self.getLabelCol()).cast("double")
+        sizes = {str(r[0]): r[1] for r in dataset.where(label.isNotNull()).groupBy(label).count().collect()}
         total = sum(sizes.values())
         return self._copyValues(BalancedWeightsModel({g: total / (len(sizes) * n) for g, n in sizes.items()}))
 

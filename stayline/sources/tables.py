@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline import schema as S
-from stayline.functions.scalars import run_stamp
+from stayline.functions.scalars import poisson_count, run_stamp, unit_draw
 
 CORRUPT = "_corrupt_record"
 
@@ -41,10 +41,13 @@ def write_predictions(df: DataFrame, path: str, run_time: Column, file_format: s
      .save(path))
 
 
-def kafka_source_options(servers: str, topic: str, per_trigger: int = 500) -> dict[str, str]:
-    """Subscribe from the earliest offset; progress lives in the checkpoint, not in a consumer group."""
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest",
-            "maxOffsetsPerTrigger": str(per_trigger)}
+def kafka_source_options(servers: str, topic: str, per_trigger: int | None) -> dict[str, str]:
+    """Subscribe from the earliest offset; progress lives in the checkpoint, not in a consumer group.
+
+    ``per_trigger`` bounds a micro-batch (the window size for count windows); None reads all there is.
+    """
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
+    return options if per_trigger is None else {**options, "maxOffsetsPerTrigger": str(per_trigger)}
 
 
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
@@ -76,5 +79,9 @@ def encode_json(df: DataFrame, key: str, event_ts: Column | None = None) -> Data
 
 
 def sample_messages(df: DataFrame, key: str, fraction: float, event_ts: Column, seed: int = S.SEED) -> DataFrame:
-    """Rows drawn with replacement, as messages: a row may be sent more than once."""
-    return encode_json(df.sample(withReplacement=True, fraction=fraction, seed=seed), key, event_ts)
+    """Rows drawn with replacement, as messages: a row may be sent more than once.
+
+    Each row is sent a Poisson number of times (mean ``fraction``), read off a draw that follows from key and seed.
+    """
+    times = F.array_repeat(F.lit(0), poisson_count(unit_draw(key, seed), fraction))
+    return encode_json(df.withColumn("_time", F.explode(times)).drop("_time"), key, event_ts)

@@ -2,27 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline import schema as S
-from stayline.functions.scalars import iso_timestamp
+from stayline.functions.scalars import iso_timestamp, to_number
 from stayline.operators.clean import align_schema, validate_rows
 
-CORRUPT = "_corrupt"
+CORRUPT, TEXT = "_corrupt", "_text"
 STAGE_DECODE, STAGE_PREDICT = "decode", "prediction"
 
 
 def parse(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Adds struct ``v``; ``v._corrupt`` holds the text of a value that is no JSON or breaks the schema.
+    """Adds struct ``v`` with the fields of the schema, and ``v._corrupt``, the text of a value that is no JSON object.
 
-    The one-element explode keeps later filters above the parse: pushed below it they would parse the text again.
+    Fields are read as text and then converted, so ``5``, ``"5"`` and ``5.0`` are the same number whatever the schema's
+    type; text that is no number of that type is null. ``v._text`` holds the fields as they came. The one-element explode
+    keeps later filters above the parse: pushed below it they would parse the text again.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col("value").cast("string"), with_corrupt,
+    as_text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields],
+                            T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json(F.col("value").cast("string"), as_text,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select("*", F.explode(F.array(parsed)).alias("v"))
+    raw = df.select("*", F.explode(F.array(parsed)).alias("_raw"))
+    fields = [_converted(F.col(f"_raw.`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
+    text = F.struct(*[F.col(f"_raw.`{f.name}`").alias(f.name) for f in schema.fields]).alias(TEXT)
+    v = F.when(F.col("_raw").isNotNull(), F.struct(*fields, F.col(f"_raw.{CORRUPT}").alias(CORRUPT), text))
+    return raw.withColumn("v", v).drop("_raw")
+
+
+def _converted(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.IntegralType):
+        number = to_number(text)
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    if isinstance(kind, T.NumericType):
+        return to_number(text).try_cast(kind)
+    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
 
 
 def is_corrupt() -> Column:
@@ -52,11 +70,24 @@ def undecodable(df: DataFrame, schema: T.StructType, failed_at: Column) -> DataF
         *dead_letter(F.col("value").cast("string"), F.lit("value is not valid JSON"), F.lit(STAGE_DECODE), failed_at))
 
 
-def route(df: DataFrame, schema: T.StructType, numeric: list[str], failed_at: Column) -> DataFrame:
-    """Every message once, with ``error`` and ``stage`` null when it can be scored. One pass, no second parse."""
+def route(df: DataFrame, schema: T.StructType, numeric: list[str], failed_at: Column,
+          fill: Mapping[str, object] | None = None) -> DataFrame:
+    """Every message once, with ``error`` and ``stage`` null when it can be scored. One pass, no second parse.
+
+    ``fill`` gives the value of a field that is absent, null or blank; it is filled in before numbers are checked. Text
+    that is there and is no number stays an error.
+    """
     parsed = parse(df, schema)
+
+    def field(f: T.StructField) -> Column:
+        value = F.col(f"v.{f.name}")
+        if fill and f.name in fill:
+            empty = F.trim(F.coalesce(F.col(f"v.{TEXT}.{f.name}"), F.lit(""))) == ""
+            value = F.when(empty, F.lit(fill[f.name]).cast(f.dataType)).otherwise(value)
+        return value.alias(f.name)
+
     flat = parsed.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("original_message"),
-                         is_corrupt().alias("_bad"), *[f"v.{f.name}" for f in schema.fields])
+                         is_corrupt().alias("_bad"), *[field(f) for f in schema.fields])
     checked = validate_rows(flat, [f.name for f in schema.fields], numeric, "_invalid")
     return (checked.withColumn("error", F.when(F.col("_bad"), "value is not valid JSON").otherwise(F.col("_invalid")))
             .withColumn("stage", F.when(F.col("_bad"), STAGE_DECODE).when(F.col("_invalid").isNotNull(), STAGE_PREDICT))

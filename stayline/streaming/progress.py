@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections import deque
+import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -17,8 +18,10 @@ def _row(progress: dict) -> tuple:
             float(progress.get("processedRowsPerSecond") or 0.0), progress["durationMs"].get("triggerExecution"))
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The recent micro-batches of a query that read anything."""
+def recent_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """The micro-batches that Spark still remembers of a query (the last 100, see spark.sql.streaming.numRecentProgressUpdates)
+    and that read anything. ``ProgressLog`` keeps all of them.
+    """
     rows = [_row(json.loads(p.json) if hasattr(p, "json") else p) for p in query.recentProgress]
     return spark.createDataFrame([r for r in rows if r[2] > 0], PROGRESS_SCHEMA)
 
@@ -31,17 +34,24 @@ def health(query: StreamingQuery) -> dict[str, object]:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the last batches of every query of a session; register with ``spark.streams.addListener``."""
+    """Appends every micro-batch of every query of a session to a table; register with ``spark.streams.addListener``.
 
-    def __init__(self, keep: int = 1000):
-        self.rows: deque[tuple] = deque(maxlen=keep)
-        self.errors: deque[str] = deque(maxlen=keep)
+    Rows are written ``every`` batches and whenever a query ends, so no batch is lost and little is held in memory.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        self.spark, self.path, self.every = spark, path, every
+        self.waiting: list[tuple] = []
+        self.errors: list[str] = []
+        self.ended: dict[str, threading.Event] = {}
 
     def onQueryStarted(self, event) -> None:
-        pass
+        self.ended.setdefault(str(event.runId), threading.Event())
 
     def onQueryProgress(self, event) -> None:
-        self.rows.append(_row(json.loads(event.progress.json)))
+        self.waiting.append(_row(json.loads(event.progress.json)))
+        if len(self.waiting) >= self.every:
+            self._write()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -49,6 +59,23 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         if event.exception:
             self.errors.append(event.exception)
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), PROGRESS_SCHEMA)
+        self._write()
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def _write(self) -> None:
+        rows, self.waiting = self.waiting, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def wait_for(self, query: StreamingQuery, timeout: float = 60.0) -> None:
+        """Return when the last event of an ended query is in the table."""
+        if not self.ended.setdefault(str(query.runId), threading.Event()).wait(timeout):
+            raise TimeoutError(f"the end of query {query.runId} was not reported in {timeout} seconds")
+
+    def table(self) -> DataFrame:
+        """All batches written so far."""
+        empty = self.spark.createDataFrame([], PROGRESS_SCHEMA)
+        try:
+            return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+        except AnalysisException:  # nothing was written yet
+            return empty

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stayline import schema as S
 from stayline.operators.scoring import envelope, positive_probability, predictions
-from stayline.streaming.messages import route
+from stayline.streaming.messages import STAGE_PREDICT, dead_letter, route
 from stayline.streaming.sinks import Sink
 
 # Adds a score column: a scorecard, or a fitted pipeline followed by ``score_with_model``.
@@ -25,32 +25,61 @@ def score_with_model(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", positive_probability())
 
 
+LETTER = ["key", "original_message", "error", "stage", "failed_at"]
+
+
 def split_scored(routed: DataFrame, scorer: Scorer, processed_ts: Column) -> tuple[DataFrame, DataFrame]:
-    """(predictions, dead letters) of routed messages. Every message ends up in exactly one of them."""
-    good = routed.where(F.col("error").isNull()).drop("error", "stage", "failed_at", "original_message")
-    scored = scorer(good.withColumn("message_ts", F.col("event_ts")))
-    rows = predictions(scored.withColumn(S.KEY, F.coalesce(S.KEY, "key")).select(S.KEY, "score", "message_ts"),
+    """(predictions, dead letters) of routed messages. Every message ends up in exactly one of them: a row that gets no
+    score is a dead letter of the prediction stage."""
+    good = routed.where(F.col("error").isNull()).drop("error", "stage", "failed_at")
+    scored = scorer(good.withColumns({"message_ts": F.col("event_ts"), "message_text": F.col("original_message")})
+                    .drop("original_message"))
+    # the explode keeps the filters on the score above the filter on errors: merged, rows in error would be scored
+    scored = scored.select(*[c for c in scored.columns if c != "score"], F.explode(F.array("score")).alias("score"))
+    known = F.col("score").isNotNull() & ~F.isnan("score")
+    rows = predictions(scored.where(known).withColumn(S.KEY, F.coalesce(S.KEY, "key")).select(S.KEY, "score", "message_ts"),
                        extra=["message_ts"])
-    bad = routed.where(F.col("error").isNotNull()).select("key", "original_message", "error", "stage", "failed_at")
-    return envelope(rows, F.col("message_ts"), processed_ts), bad
+    unscored = scored.where(~F.coalesce(known, F.lit(False))).select("key", *dead_letter(
+        "message_text", F.lit("the model gave no score"), F.lit(STAGE_PREDICT), processed_ts))
+    bad = routed.where(F.col("error").isNotNull()).select(*LETTER)
+    return envelope(rows, F.col("message_ts"), processed_ts), bad.unionByName(unscored.select(*LETTER))
+
+
+def unscorable(routed: DataFrame, problem: Exception, processed_ts: Column) -> DataFrame:
+    """Dead letters for all messages of a batch whose scorer failed."""
+    reason = (str(problem).strip().splitlines() or [type(problem).__name__])[0]
+    return routed.select(
+        "key", "original_message", F.coalesce("error", F.lit(f"prediction failed: {reason}")).alias("error"),
+        F.coalesce("stage", F.lit(STAGE_PREDICT)).alias("stage"), F.coalesce("failed_at", processed_ts).alias("failed_at"))
 
 
 def score_messages(messages: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer,
-                   processed_ts: Column) -> tuple[DataFrame, DataFrame]:
-    """(predictions, dead letters) of a table of messages."""
-    return split_scored(route(messages, schema, list(numeric), processed_ts), scorer, processed_ts)
+                   processed_ts: Column, fill: Mapping[str, object] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(predictions, dead letters) of a table of messages; ``fill`` replaces blank or absent fields before scoring."""
+    return split_scored(route(messages, schema, list(numeric), processed_ts, fill), scorer, processed_ts)
 
 
 def score_stream(stream: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer, sink: Sink, checkpoint: str,
-                 clock: Callable[[], Column] = F.current_timestamp, trigger: dict | None = None) -> StreamingQuery:
-    """Start scoring a (key, value) stream. Without a trigger it drains what is there and ends."""
+                 clock: Callable[[], Column] = F.current_timestamp, trigger: dict | None = None,
+                 fill: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Start scoring a (key, value) stream. Without a trigger it drains what is there and ends.
+
+    When the scorer fails on a batch, the batch's messages become dead letters and the stream goes on.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         # Both sides read the parsed batch: keep it instead of reading and parsing the source twice.
-        kept = route(batch, schema, list(numeric), now).persist(StorageLevel.MEMORY_AND_DISK)
-        good, bad = split_scored(kept, scorer, now)
-        sink(good, "predictions", batch_id)
-        sink(bad, "dead_letters", batch_id)
+        kept = route(batch, schema, list(numeric), now, fill).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, bad = split_scored(kept, scorer, now)
+            scored = good.persist(StorageLevel.MEMORY_AND_DISK)
+            scored.count()  # a scorer that fails does so here, before anything is published
+        except Exception as problem:  # any failure of the caller's scorer
+            sink(unscorable(kept, problem, now), "dead_letters", batch_id)
+        else:
+            sink(scored, "predictions", batch_id)
+            sink(bad, "dead_letters", batch_id)
+            scored.unpersist()
         kept.unpersist()
 
     return (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -65,21 +94,28 @@ def dedup_stream(stream: DataFrame, event_ts: str, delay: str, keys: Sequence[st
 
 def run_for(query: StreamingQuery, seconds: float) -> bool:
     """Let a query run for a while, then stop it; True when it had ended by itself. Unfinished batches are redone on restart."""
-    ended = query.awaitTermination(max(1, int(seconds)))
+    ended = query.awaitTermination(seconds)
     if not ended:
         query.stop()
     return bool(ended)
 
 
-def run_windows(query: StreamingQuery, windows: int, poll: float = 0.2, timeout: float = 600.0) -> int:
-    """Stop after a number of finished micro-batches; returns how many were finished."""
-    deadline = time.time() + timeout
+def run_windows(query: StreamingQuery, windows: int, poll: float = 0.2, timeout: float | None = None) -> int:
+    """Stop after a number of finished micro-batches; returns how many were finished.
+
+    Fewer than asked for only when the query ended by itself. With a ``timeout`` in seconds, running into it stops the
+    query and raises.
+    """
+    deadline = None if timeout is None else time.time() + timeout
     done = 0
-    while time.time() < deadline:
+    while True:
         last = query.lastProgress
         done = last["batchId"] + 1 if last else 0
         if done >= windows or not query.isActive:
             break
+        if deadline is not None and time.time() >= deadline:
+            query.stop()
+            raise TimeoutError(f"{done} of {windows} windows were finished in {timeout} seconds")
         time.sleep(poll)
     if query.isActive:
         query.stop()

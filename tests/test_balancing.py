@@ -90,6 +90,29 @@ def test_under_and_oversampling(imbalanced):
     assert over.where("copy = 0").count() == 100
 
 
+def test_null_labels_are_no_class(spark, imbalanced):
+    with_null = imbalanced.withColumn("label", F.when(F.col("id") % 33 != 5, F.col("label")))
+    counts = sizes(with_null)
+    missing, (small, large) = counts.pop(None), sorted(counts.values())
+    assert missing >= 3
+    under = sizes(sampling.undersample(with_null, "id", "label"))
+    assert under == {None: missing, 0: small, 1: small}
+    assert sizes(sampling.oversample(with_null, "id", "label")) == {None: missing, 0: large, 1: large}
+    weights = {r.label: r.w for r in sampling.class_weights(with_null, "label", "w").select("label", "w").distinct().collect()}
+    assert weights[None] is None and weights[0] == pytest.approx((small + large) / (2 * counts[0]))
+    for make in (resample.smote, resample.adasyn):
+        made = make(with_null, "id", "label", FEATURES)
+        assert made.where("label is null").count() == missing and made.where("synthetic and label is null").count() == 0
+        if make is resample.smote:
+            assert sizes(made) == {None: missing, 0: large, 1: large}
+
+
+def test_many_classes(spark):
+    df = spark.range(9000).select("id", F.when(F.col("id") < 6000, F.col("id") % 3000).otherwise(F.lit(1)).alias("label"))
+    assert sampling.undersample(df, "id", "label").groupBy("label").count().where("count <> 2").count() == 0
+    assert sampling.class_weights(df, "label").where("weight is null").count() == 0
+
+
 @pytest.mark.parametrize("make", [resample.smote, resample.adasyn])
 def test_synthetic_rows(imbalanced, make):
     out = make(imbalanced, "id", "label", FEATURES).toPandas()

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from stayline import schema as S
 from stayline.functions.binning import cut, risk_level, risk_level_cut, tenure_bin
 from stayline.functions.scalars import clip, currency, safe_ratio, unit_draw
-from stayline.operators import clean, features
+from stayline.operators import clean, explore, features
 from stayline.sources import tables
 from stayline.sources.fixtures import subscribers
 
@@ -141,10 +141,18 @@ def test_scaling_constant_column(spark):
     assert col(features.minmax(df, ["x"]), "x_01") == [0.0, 0.0]
 
 
-def test_too_many_categories(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        features.categories(df, "c", limit=10)
+def test_five_thousand_categories(spark):
+    names = [f"v{i:05d}" for i in range(5000)]
+    df = spark.createDataFrame([(i, names[i * 7 % 5000]) for i in range(6000)] + [(9999, None)], "id long, c string")
+    got = {r.id: r.n for r in features.string_index(df, "c", "n").collect()}
+    assert all(got[i] == i * 7 % 5000 for i in range(6000)) and got[9999] == 5000
+    slots = {r.id: r.v for r in features.one_hot_vector(df, "c", "v").collect()}
+    assert slots[3].size == 5000 and slots[3].indices.tolist() == [21] and slots[9999].indices.tolist() == []
+    pairs = explore.crosstab(df.withColumn("a", F.col("id") % 2), "a", "c")
+    assert pairs.count() == len({(i % 2, i * 7 % 5000) for i in range(6000)})
+    assert pairs.agg(F.sum("n")).first()[0] == 6000
+    pct = explore.crosstab_pct(df.withColumn("a", F.col("id") % 2), "a", "c").groupBy("a").agg(F.sum("pct").alias("s"))
+    assert all(abs(r.s - 100) < 1e-6 for r in pct.collect())
 
 
 def test_unit_draw_range(spark):

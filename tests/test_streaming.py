@@ -132,19 +132,72 @@ def test_replay_in_chunks_with_restart(spark, tmp_path):
 
 
 def test_progress_and_health(spark, feed, tmp_path):
-    log = progress.ProgressLog()
+    log = progress.ProgressLog(spark, str(tmp_path / "progress"), every=2)
     spark.streams.addListener(log)
     query = start(spark, feed, str(tmp_path / "out"))
     query.awaitTermination()
     state = progress.health(query)
     assert not state["active"] and not state["failed"]
-    table = progress.progress_table(spark, query)
+    table = progress.recent_progress(spark, query)
     assert [r["input_rows"] > 0 for r in table.collect()] == [True] * 3
-    deadline = time.time() + 10
-    while len(log.rows) < 3 and time.time() < deadline:
-        time.sleep(0.1)
+    log.wait_for(query)
     spark.streams.removeListener(log)
-    assert log.table(spark).count() >= 3
+    assert log.table().where("input_rows > 0").count() == 3
+
+
+def test_progress_keeps_every_batch(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(130).repartition(130).write.parquet(path)
+    source = tables.read_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, spark.read.parquet(path).schema, path)
+    log = progress.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    query = source.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    log.wait_for(query)
+    spark.streams.removeListener(log)
+    done = log.table().where("input_rows > 0")
+    assert done.count() >= 125 and done.agg(F.sum("input_rows")).first()[0] == 130  # more than Spark remembers
+
+
+def test_numbers_as_text_and_blanks(spark):
+    kind = T.StructType([T.StructField("customerID", T.StringType()), T.StructField("tenure", T.IntegerType()),
+                         T.StructField("charge", T.DoubleType()), T.StructField("event_ts", T.StringType())])
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(
+        ['{"tenure":5,"charge":1}', '{"tenure":"5","charge":"1.0"}', '{"tenure":5.0,"charge":" 1 "}', '{"tenure":"5","charge":""}',
+         '{"tenure":"5"}', '{"tenure":"5","charge":"x"}', '{"tenure":5.5,"charge":1}', "{bad"])], MESSAGES)
+    plain = {r.key: r for r in M.route(df, kind, ["tenure", "charge"], fixed_time()).collect()}
+    assert [plain[str(i)].error for i in range(3)] == [None] * 3 and {plain[str(i)].tenure for i in range(3)} == {5}
+    assert all("charge is not numeric" in plain[str(i)].error for i in (3, 4, 5))
+    assert "tenure" in plain["6"].error and plain["7"].error == "value is not valid JSON"
+    filled = {r.key: r for r in M.route(df, kind, ["tenure", "charge"], fixed_time(), {"charge": 0.0}).collect()}
+    assert filled["3"].charge == filled["4"].charge == 0.0 and filled["3"].error is None
+    assert "charge is not numeric" in filled["5"].error
+
+
+def test_unscored_rows_and_failing_scorers_are_dead_letters(spark, feed, tmp_path):
+    def half(df):
+        return CARD.score(df).withColumn("score", F.when(F.col("tenure").cast("int") % 2 == 0, F.col("score")))
+
+    good, bad = score_messages(spark.read.parquet(feed), SCHEMA, ["tenure", "MonthlyCharges"], half, fixed_time())
+    assert good.count() + bad.count() == 19 and good.count() == 9
+    lost = bad.where("error = 'the model gave no score'")
+    assert lost.count() == 7 and lost.where("original_message is null or stage <> 'prediction'").count() == 0
+
+    def broken(df):
+        return df.withColumn("score", F.raise_error(F.lit("out of order")).cast("double"))
+
+    out = str(tmp_path / "out")
+    score_stream(stream(spark, feed), SCHEMA, ["tenure", "MonthlyCharges"], broken, table_sink(out), f"{out}/c", fixed_time).awaitTermination()
+    letters = read_sink(spark, out, "dead_letters")
+    assert letters.count() == 19 and letters.where("error like 'prediction failed%'").count() == 16
+
+
+def test_windows_say_when_time_is_up(spark, feed, tmp_path):
+    query = score_stream(stream(spark, feed), SCHEMA, ["tenure"], CARD.score, table_sink(str(tmp_path / "a")), str(tmp_path / "ca"),
+                         fixed_time, {"processingTime": "1 hour"})
+    with pytest.raises(TimeoutError):
+        run_windows(query, 50, timeout=3)
+    assert not query.isActive
 
 
 def test_runs_are_bounded(spark, feed, tmp_path):
@@ -177,8 +230,9 @@ def test_message_sink_writes_key_and_value(spark, tmp_path):
 
 
 def test_kafka_options():
-    source = tables.kafka_source_options("host:9092", "raw")
+    source = tables.kafka_source_options("host:9092", "raw", 500)
     assert source["startingOffsets"] == "earliest" and source["maxOffsetsPerTrigger"] == "500"
+    assert "maxOffsetsPerTrigger" not in tables.kafka_source_options("host:9092", "raw", None)
     assert tables.kafka_sink_options("host:9092", "out")["kafka.acks"] == "all"
 
 
