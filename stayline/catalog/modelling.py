@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from stayline import schema as S
-from stayline.catalog.registry import query
+from stayline.catalog.registry import query, rounded
 from stayline.operators import ensembles, explain, models
 from stayline.operators.clean import clean_subscribers
 from stayline.operators.sampling import split_stratified, train_test
@@ -44,6 +45,47 @@ def gbt_scores(spark, sf):
     return _scores(spark, sf, "gbt")
 
 
+# --- fits whose result is determined, so that SQL knows it ---------------------------------------------------------
+
+_CLEAN = """, c as (select *, case when Churn = 'Yes' then 1.0 else 0.0 end y from subscribers
+  where try_cast(trim(TotalCharges) as double) is not null and Churn in ('Yes', 'No'))"""
+_BOTH = ["Contract", "InternetService"]
+
+
+@query("lr_score_equations", f"""{_CLEAN}
+select 'Contract' as "column", Contract as value, round(avg(y), 3) as mean_score from c group by 2
+union all select 'InternetService', InternetService, round(avg(y), 3) from c group by 2""", ("subscribers",))
+def lr_score_equations(spark, sf):
+    """Without penalty the mean score of the training rows of a category is the share of churners in it."""
+    rows = labelled(spark, sf)
+    scored = models.fit_scores(rows, rows, models.classifier("lr", regParam=0.0, maxIter=300, tol=1e-12),
+                               models.preparation([], _BOTH, scaling=None)).join(rows.select(S.KEY, *_BOTH), S.KEY)
+    return scored.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in _BOTH]))
+                         .alias("e"), "score").groupBy("e").agg(F.round(F.avg("score"), 3).alias("mean_score")).select("e.*", "mean_score")
+
+
+def _leaf_shares(spark, sf, estimator):
+    """A tree over one two-valued column scores every row with the share of churners of its value. The two values have
+    different majorities: leaves that predict the same class would be merged."""
+    rows = labelled(spark, sf).withColumn("band", F.when(F.col("tenure") < 36, "short").otherwise("long"))
+    scored = models.fit_scores(rows, rows, estimator, models.preparation([], ["band"], scaling=None))
+    return rounded(scored.join(rows.select(S.KEY, "band"), S.KEY).select("band", "score").distinct())
+
+
+_SHARES = f"{_CLEAN}\nselect case when tenure < 36 then 'short' else 'long' end as band, round(avg(y), 6) as score from c group by 1"
+
+
+@query("dt_leaf_shares", _SHARES, ("subscribers",))
+def dt_leaf_shares(spark, sf):
+    return _leaf_shares(spark, sf, models.classifier("dt"))
+
+
+@query("rf_leaf_shares", _SHARES, ("subscribers",))
+def rf_leaf_shares(spark, sf):
+    """One tree on all rows and features."""
+    return _leaf_shares(spark, sf, models.classifier("rf", numTrees=1, featureSubsetStrategy="all", bootstrap=False))
+
+
 def _bases():
     return {"lr": models.classifier("lr"), "dt": models.classifier("dt"), "rf": models.classifier("rf", numTrees=20, maxDepth=5)}
 
