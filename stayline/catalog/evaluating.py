@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.catalog.cleaning import edge_time
-from stayline.catalog.registry import query, rounded
+from stayline.catalog.registry import SQL, query, rounded
 from stayline.functions.scalars import iso_timestamp
 from stayline.operators import business, metrics, sampling, scoring
 from stayline.operators.explain import linear_contributions
+from stayline.operators.models import fold_scores
 from stayline.plans.ordered import exact_quantiles
 from stayline.plans.small import join_groups, settle
 from stayline.sources.fixtures import model_scores, scored, subscribers, table
@@ -146,6 +147,34 @@ def cv_stability(spark, sf):
     return rounded(metrics.stability(folds))
 
 
+def given(_train):
+    """Stands in for a fitted model: the rows bring their scores."""
+    return lambda rows: rows
+
+
+@query("cv_time", """, r as (select *, row_number() over (order by customerID) - 1 i, count(*) over () n from scored),
+b as (select *, case when i < n - 5 * (n // 6) then 0 else (i - (n - 5 * (n // 6))) // (n // 6) + 1 end block from r)
+select cast(block as int) as block, round(avg(case when label = prediction then 1.0 else 0.0 end), 6) as score from b where block > 0 group by 1""", SCO)
+def cv_time(spark, sf):
+    blocks = sampling.folds_time(scored(spark, sf), [S.KEY], 5)
+    return rounded(fold_scores(blocks, given, "block", expanding=True, metric="accuracy"))
+
+
+@query("cv_custom", """
+select cast(length(Contract) % 3 as int) as fold, round(avg(case when label = prediction then 1.0 else 0.0 end), 6) as score
+from scored group by 1""", SCO)
+def cv_custom(spark, sf):
+    folds = sampling.folds_by(scored(spark, sf), F.length("Contract") % 3)
+    return rounded(fold_scores(folds, given, metric="accuracy"))
+
+
+@query("cv_model_stability", SQL["cv_stability"])
+def cv_model_stability(spark, sf):
+    """The stability gate over the fold scores of a model."""
+    rows = sampling.folds_stratified(scored(spark, sf), S.KEY, ["label"], 10)
+    return rounded(metrics.stability(fold_scores(rows, given, metric="accuracy")))
+
+
 # --- scoring -------------------------------------------------------------------------------------------------------
 
 @query("score_batch", """

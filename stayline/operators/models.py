@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
@@ -171,6 +171,40 @@ def cross_validate(train: DataFrame, estimator: Estimator, candidates: list[dict
     return fitted.bestModel, table
 
 
+Fitted = Callable[[DataFrame], DataFrame]
+
+
+def fold_scores(df: DataFrame, fit: Callable[[DataFrame], Fitted], fold: str = "fold", expanding: bool = False,
+                metric: str = "roc_auc") -> DataFrame:
+    """(fold, score) of a model over any fold column: stratified, plain, by time or by the caller's own rule.
+
+    ``fit(train)`` gives a function that scores rows to (label, score, prediction). With ``expanding`` a fold is tested on
+    what the folds below it taught, so the first one only trains. ``metric`` is any column of ``compare_models``; all folds
+    are judged in one pass. ``metrics.stability`` takes the result.
+    """
+    df = cut_lineage(df)  # read once per fold
+    numbers = sorted(r[0] for r in df.select(fold).where(F.col(fold).isNotNull()).distinct().collect())  # a row per fold
+    parts = None
+    for i in numbers[1:] if expanding else numbers:
+        train = df.where(F.col(fold) < i if expanding else F.col(fold) != i)
+        scored = fit(train)(df.where(F.col(fold) == i)).select("label", "score", "prediction", F.lit(str(i)).alias("model"))
+        parts = scored if parts is None else parts.unionByName(scored)
+    if parts is None:
+        raise ValueError(f"{fold} has no fold to test on")
+    return compare_models(parts).select(F.col("model").cast("int").alias(fold), F.col(metric).alias("score"))
+
+
+def fitting(estimator: Estimator, stages: Pipeline | None = None) -> Callable[[DataFrame], Fitted]:
+    """How ``fold_scores`` fits a classifier with its preparation."""
+    def fit(train: DataFrame) -> Fitted:
+        prepared = prepare(train, stages)
+        model = estimator.fit(prepared.train)
+        prepared.release()
+        return lambda rows: scores(model.transform(prepared.model.transform(rows)), ["label"])
+
+    return fit
+
+
 def compare_feature_sets(train: DataFrame, test: DataFrame, sets: Mapping[str, tuple[Sequence[str], Sequence[str]]],
                          estimator: Estimator) -> DataFrame:
     """One metrics row per (numeric, categorical) feature set."""

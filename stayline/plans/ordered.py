@@ -138,15 +138,19 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 def hash_rank(df: DataFrame, key: str, by: Sequence[str] = (), seed: int = 42, out: str = "rank") -> DataFrame:
     """1-based rank inside each group by the hash order of a unique key, spread over 65536 buckets per group."""
-    rows = df.withColumn("_k", order_key(key, seed)).withColumn("_b", F.substring("_k", 1, HASH_DIGITS))
-    keys = [F.col(b) for b in by]
+    # text stand-ins make null groups equal to themselves, so the join and the window share one shuffle
+    group = [f"_g{i}" for i in range(len(by))]
+    rows = (df.withColumn("_k", order_key(key, seed)).withColumn("_b", F.substring("_k", 1, HASH_DIGITS))
+            .withColumns({g: F.concat(F.lit("="), F.col(b).cast("string")) for g, b in zip(group, by)})
+            .withColumns({g: F.coalesce(g, F.lit("")) for g in group}))
+    keys = [F.col(g) for g in group]
     earlier = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (rows.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
-               .select(*by, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")))
+    offsets = (rows.groupBy(*group, "_b").agg(F.count("*").alias("_n"))
+               .select(*group, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")))
     inside = W.partitionBy(*keys, F.col("_b")).orderBy("_k", key)
-    small = settle(offsets, 200_000) if by else F.broadcast(offsets)  # without groups: one row per bucket
-    return (join_groups(rows, small, [*by, "_b"])
-            .withColumn(out, F.col("_off") + F.row_number().over(inside)).drop("_k", "_b", "_off"))
+    small = offsets if by else F.broadcast(offsets)  # without groups: one row per bucket
+    return (rows.join(small, [*group, "_b"])
+            .withColumn(out, F.col("_off") + F.row_number().over(inside)).select(*df.columns, out))
 
 
 def hash_cutoffs(df: DataFrame, key: str, quota: Callable[[Column], Column], by: Sequence[str] = (),

@@ -178,3 +178,17 @@ def test_contributions_add_up(spark):
         ("a", "x"): -2.0, ("a", "y"): 1.0, ("b", "x"): 2.0, ("b", "y"): -1.0}
     top = explain.top_contributions(out, "id", 1).collect()
     assert {r["feature"] for r in top} == {"x"}
+
+
+def test_fold_scores_of_a_fitted_model(spark):
+    """Folds in time, by a rule and stratified, judged by the area under the curve."""
+    from stayline.operators import metrics, sampling
+    rows = spark.range(400).select(
+        F.col("id").cast("string").alias("customerID"), F.col("id").alias("t"), (F.col("id") % 10).cast("double").alias("x"),
+        F.when(F.col("id") % 10 + F.col("id") % 3 > 5, 1.0).otherwise(0.0).alias("label"))
+    fit = models.fitting(models.classifier("lr"), models.preparation(["x"], []))
+    timed = models.fold_scores(sampling.folds_time(rows, ["t"], 3), fit, "block", expanding=True).collect()
+    assert sorted(r.block for r in timed) == [1, 2, 3] and all(r.score > 0.9 for r in timed)
+    dealt = models.fold_scores(sampling.folds_stratified(rows, "customerID", ["label"], 4), fit)
+    gate = metrics.stability(dealt).first()
+    assert gate.folds == 4 and gate.stable and gate.mean_score > 0.9
