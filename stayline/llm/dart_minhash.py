@@ -7,11 +7,11 @@ signature. Two signatures agree in a coordinate with the probability of the text
 about k (ln k + 4) darts are thrown per text however many shingles it has; more when a coordinate stayed empty.
 
 Signatures are cut into bands; texts that share a band meet in a bucket. At similarity 0.8 a pair misses all buckets with
-probability 1e-5. Inside a bucket nobody is paired with everybody: all are compared with a leader (the smallest key), who
-fails meets further leaders, 4, 16, ... of those left over, until no two are left. Who was linked to a leader is compared
-with one who was not only where that can matter: distances obey the triangle inequality, so a leader's similarity below
-2 * 0.8 - 1 rules it out, and texts that are in one class by then need no comparison. Every comparison is exact, on whole
-sets. So no pair that met in a bucket and reaches the threshold ends in two classes.
+probability 1e-5. Inside a bucket nobody is paired with everybody: all are compared with a leader, then, as long as the
+bucket holds several classes, members of another class than the leader's with a few leaders more. Only those that then
+still stand outside the class most of their bucket is in are compared with all members of other classes, but for those
+that the first leader rules out: distances obey the triangle inequality, so two similar texts are about as near to it.
+Every comparison is exact, on whole sets. So no pair that met in a bucket and reaches the threshold ends in two classes.
 
 Texts with equal words stand in for each other and are searched once.
 
@@ -28,7 +28,6 @@ from math import ceil, log
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stayline.llm.common import Memo, as_long, documents, hash_word, list_array, settle_small, window_hashes, word_hashes, words
@@ -38,6 +37,7 @@ from stayline.llm.text_keys import doc_value, is_present, keyed, mixed, node_of,
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 38, 6
+TRIES = 3  # leaders that a bucket's members meet one after another, while they are of different classes
 UNITS = 200_000  # darts regions worked on at once
 
 _HASHES = Memo(hash_word)  # per Python worker
@@ -188,55 +188,43 @@ def _fit(a: str, b: str):
     return F.least(a, b) / F.greatest(a, b)
 
 
-def links(bands: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def links(bands: DataFrame, sets: DataFrame, similar: float = SIMILAR, tries: int = TRIES) -> DataFrame:
     """(a, b) of linked texts: enough links to connect all texts that met in a bucket and are similar."""
-    grey = 2 * similar - 1  # below that a leader's similarity rules out one with those linked to it
-    lead = (bands.groupBy("band").agg(F.min(F.struct("node", "size")).alias("lead"), F.max("node").alias("last"))
-            .where("lead.node < last").select("band", F.col("lead.node").alias("leader"), F.col("lead.size").alias("leader_size")))
-    met = written(bands.join(lead, "band").where("node > leader"), "met")  # band, node, size, leader, leader_size
-    checked, seen, round_ = None, None, 0
-    while True:
-        ask = met.where(_fit("size", "leader_size") >= similar).select(
-            F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    members = bands.select("band", "node", "size", F.col("node").alias("root"))
+    checked = first = linked = None
+    for turn in range(tries):
+        place = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+        lead = members.groupBy("band").agg(F.min(F.struct(place.alias("place"), "node", "size", "root")).alias("lead")).select(
+            "band", *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "size", "root")])
+        met = members.join(lead, "band")
+        ask = met.where((F.col("root") != F.col("lead_root")) & (_fit("size", "lead_size") >= similar)).select(
+            F.greatest("node", "lead_node").alias("a"), F.least("node", "lead_node").alias("b")).distinct()
         if checked is not None:
             ask = ask.join(checked, ["a", "b"], "left_anti")
-        fresh = written(compare(ask, sets), "compared")
+        fresh = written(compare(written(ask, "ask"), sets), "compared")
         checked = fresh if checked is None else checked.unionByName(fresh)
-        known = checked.select(F.col("a").alias("node"), F.col("b").alias("leader"), "similar")
-        judged = written(met.join(known, ["node", "leader"], "left")
-                         .withColumn("linked", F.coalesce(F.col("similar") >= similar, F.lit(False)))
-                         .withColumn("similar", F.coalesce("similar", _fit("size", "leader_size"))), "judged")
-        near = judged.where(F.col("similar") >= grey)
-        seen = near if seen is None else seen.unionByName(near)
-        # who was linked to no leader of its bucket, and was none itself, goes on
-        still = (judged.groupBy("band", "node").agg(F.max("linked").alias("linked"), F.first("size").alias("size"))
-                 .where("not linked").drop("linked"))
-        if round_:
-            still = still.join(judged.select("band", F.col("leader").alias("node")).distinct(), ["band", "node"], "left_anti")
-        many = still.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-        left = written(still.join(many, "band"), "left")
-        if left.isEmpty():
-            break
-        round_ += 1
-        placed = left.withColumn("place", F.row_number().over(W.partitionBy("band").orderBy("node")))
-        chosen = placed.where(F.col("place") <= 4 ** round_).select(
-            "band", F.col("node").alias("leader"), F.col("size").alias("leader_size"))
-        met = written(placed.drop("place").join(chosen, "band").where("node > leader"), "met")
-    linked = written(seen.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "links")
-    # one linked to a leader beside one that was nearly: only where their classes still differ
-    unsure = seen.where("not linked")
-    if unsure.isEmpty():
-        return linked
-    group = settle_small(components(linked))
-    inside = (seen.where("linked").select("band", "leader", "node", "size", "similar")
-              .join(group.select("node", F.col("root").alias("root_a")), "node"))
-    beside = (unsure.select("band", "leader", F.col("node").alias("b"), F.col("size").alias("size_b"),
-                            F.col("similar").alias("similar_b"))
-              .join(group.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left"))
-    cross = (inside.join(beside, ["band", "leader"])
-             .where(~F.col("root_a").eqNullSafe(F.col("root_b")) & (_fit("size", "size_b") >= similar)
-                    & (F.col("similar") - F.col("similar_b") <= 1 - similar))
-             .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+        if first is None:  # how near each member is to the first leader of its bucket, or could at most be
+            known = fresh.select(F.col("a").alias("node"), F.col("b").alias("lead_node"), F.col("similar").alias("known"))
+            first = written(met.join(known, ["node", "lead_node"], "left").select(
+                "band", "node", F.when(F.col("node") == F.col("lead_node"), 1.0).otherwise(F.col("known")).alias("known"),
+                F.when(F.col("node") == F.col("lead_node"), 1.0).otherwise(
+                    F.coalesce("known", _fit("size", "lead_size"))).alias("most")), "first")
+        linked = checked.where(F.col("similar") >= similar).select("a", "b")
+        root = components(linked).withColumnRenamed("root", "new_root")
+        members = members.drop("root").join(root, "node", "left").withColumn("root", F.coalesce("new_root", "node")).drop("new_root")
+        mixed_ = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        members = written(members.join(mixed_.select("band"), "band", "left_semi"), "members")
+        if members.isEmpty():
+            return linked
+    # who still stands outside the class most of its bucket is in meets everybody of another class it could be similar to
+    held = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+    main = held.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    rows = written(members.join(first, ["band", "node"]).join(main, "band"), "rows")
+    outside = rows.where("root != main").select("band", *[F.col(c).alias(f"{c}_o") for c in ("node", "size", "root", "known", "most")])
+    apart = (F.coalesce(F.col("known") - F.col("most_o") > 1 - similar, F.lit(False))
+             | F.coalesce(F.col("known_o") - F.col("most") > 1 - similar, F.lit(False)))
+    cross = (rows.join(outside, "band").where((F.col("root") != F.col("root_o")) & (_fit("size", "size_o") >= similar) & ~apart)
+             .select(F.greatest("node", "node_o").alias("a"), F.least("node", "node_o").alias("b")).distinct()
              .join(checked, ["a", "b"], "left_anti"))
     more = compare(written(cross, "cross"), sets).where(F.col("similar") >= similar).select("a", "b")
     return written(linked.unionByName(more).distinct(), "links")
