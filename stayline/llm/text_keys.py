@@ -72,7 +72,7 @@ def presence_map(hashes: DataFrame, column: str, bits: int = MAP_BITS) -> np.nda
     place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
     rows = (hashes.select(F.shiftright(place, 6).cast("int").alias("at"), bit.alias("bit"))
-            .groupBy("at").agg(F.expr("bit_or(bit)").alias("word")).toPandas())  # at most 2^(bits - 6) rows
+            .groupBy("at").agg(F.expr("bit_or(bit)").alias("word")).toArrow())  # at most 2^(bits - 6) rows
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[rows["at"].to_numpy()] = rows["word"].to_numpy().view(np.uint64)
     return out
