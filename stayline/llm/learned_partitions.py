@@ -37,8 +37,8 @@ from stayline.llm.text_keys import written
 
 K = 20
 SAMPLE = 8192
-PER_CELL = 400  # vectors per cell aimed at, while there are at most MOST_CELLS
-MOST_CELLS = 256
+CELLS = 32  # whatever the number of vectors, so what queries bring back grows with the queries alone
+FEWEST = 64  # vectors a cell must have on average; small tables have fewer cells
 GRAPH_K = 10
 HIDDEN = 128
 ROUNDS = 150
@@ -172,8 +172,8 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     return rows if twice.isEmpty() else rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def fit_index(rows: DataFrame, n: int, sample: int = SAMPLE) -> Router:
-    cells = 1 << max(0, min(int(log2(MOST_CELLS)), round(log2(max(1, n / PER_CELL)))))
+def fit_index(rows: DataFrame, n: int, sample: int = SAMPLE, cells: int = CELLS) -> Router:
+    cells = 1 << max(0, min(int(log2(cells)), int(log2(max(1, n / FEWEST)))))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(b.column(0).to_numpy(), _matrix(b.column(1))) for b in batches if b.num_rows]
