@@ -7,7 +7,7 @@ signature. Two signatures agree in a coordinate with the probability of the text
 about k (ln k + 4) darts are thrown per text however many shingles it has; more when a coordinate stayed empty.
 
 Signatures are cut into bands; texts that share a band meet in a bucket. At similarity 0.8 a pair misses all buckets with
-probability 1e-5. Inside a bucket nobody is paired with everybody: all are compared with a leader, then, as long as the
+probability 1e-5. Inside a bucket nobody is paired with everybody: all are compared with a leader (the one that meets most others in its buckets), then, as long as the
 bucket holds several classes, members of another class than the leader's with a few leaders more. Only those that then
 still stand outside the class most of their bucket is in are compared with all members of other classes, but for those
 that the first leader rules out: distances obey the triangle inequality, so two similar texts are about as near to it.
@@ -190,10 +190,14 @@ def _fit(a: str, b: str):
 
 def links(bands: DataFrame, sets: DataFrame, similar: float = SIMILAR, tries: int = TRIES) -> DataFrame:
     """(a, b) of linked texts: enough links to connect all texts that met in a bucket and are similar."""
-    members = bands.select("band", "node", "size", F.col("node").alias("root"))
+    # who meets the most others is likely what they were copied from, and the leader that links most of them
+    crowd = bands.groupBy("band").agg(F.count("*").alias("n"))
+    met_by = bands.join(crowd, "band").groupBy(F.col("node").alias("of")).agg(F.sum("n").alias("others"))
+    members = written(bands.join(met_by, F.col("node") == F.col("of")).select(
+        "band", "node", "size", "others", F.col("node").alias("root")), "members")
     checked = first = linked = None
     for turn in range(tries):
-        place = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+        place = F.xxhash64("node", F.lit(turn)) if turn else -F.col("others")
         lead = members.groupBy("band").agg(F.min(F.struct(place.alias("place"), "node", "size", "root")).alias("lead")).select(
             "band", *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "size", "root")])
         met = members.join(lead, "band")
