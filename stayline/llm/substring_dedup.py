@@ -123,7 +123,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
     table, searched = searched_texts(keyed(docs))
     # seeds
     shared = written(anchor_rows(searched, window, gram).groupBy("anchor")
-                     .agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("anchor"), "anchors")
+                     .agg(F.count("*").alias("texts")).where("texts > 1").select("anchor"), "anchors")
     wanted = spark.sparkContext.broadcast(presence_map(shared, "anchor"))
     seeds = written(anchor_rows(searched, window, gram, wanted).join(shared, "anchor", "left_semi")
                     .groupBy("doc", "tkey").agg(F.collect_set("anchor").alias("seeds"))
@@ -139,8 +139,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
     moved = searched.where(maybe(place))
     seeded = moved.join(seeds, ["doc", "tkey"])
     found = written(window_rows(seeded, window, gram), "windows")
-    first_at = (found.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-                .where("low < high").select("h1", "h2", "low"))
+    first_at = (found.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.count("*").alias("times"))
+                .where("times > 1").select("h1", "h2", "low"))
     repeats = (found.join(first_at, ["h1", "h2"]).where("doc > low").groupBy("row").agg(F.collect_list("pos").alias("starts"))
                .join(seeds.select("row", "doc", "tkey"), "row"))
     return table, cut_rows(moved.join(repeats, ["doc", "tkey"]), window)
