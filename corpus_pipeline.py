@@ -41,11 +41,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies; of rows with one id and text one."""
-    found = written(dart_minhash.near_duplicates(docs.select("doc_id", "text")), "classes")
+    """One document of each class of near copies; of rows with one id and text one. Ids need not be there or differ."""
+    found = written(dart_minhash.near_duplicates(docs.select("doc_id", "text")).select("doc", "tkey", "root"), "classes")
     stays = F.struct("doc", "tkey")
-    best = found.groupBy("class_doc").agg(F.min(stays).alias("best"), F.count("*").alias("n"))
-    marked = found.join(best, "class_doc").select("doc", "tkey", (stays == F.col("best")).alias("stays"))
+    best = found.groupBy("root").agg(F.min(stays).alias("best"))
+    marked = found.join(best, "root").select("doc", "tkey", (stays == F.col("best")).alias("stays"))
     gone = written(marked.where("not stays").select(F.col("doc").alias("gone_doc"), F.col("tkey").alias("gone_key")).distinct(), "gone")
     twice = not marked.where("stays").groupBy("doc", "tkey").count().where("count > 1").isEmpty()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

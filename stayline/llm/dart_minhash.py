@@ -254,7 +254,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(doc, tkey, node, n_words, class_doc) for every row of (doc_id, text); ``class_doc`` is the smallest id of its class."""
+    """(doc, tkey, node, n_words, root, class_doc) for every row of (doc_id, text); ``root`` tells classes apart,
+    ``class_doc`` is the smallest id of a class (several classes share it where ids are null or have several texts)."""
     table, searched = searched_texts(keyed(docs))
     bands = written(band_rows(searched), "bands")
     crowded = bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
@@ -265,7 +266,8 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     group = components(links(met, sets, similar))
     labelled = table.join(group, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = labelled.groupBy(F.col("root").alias("of")).agg(F.min("first").alias("class_doc"))
-    return labelled.join(heads, F.col("root") == F.col("of")).select("doc", "tkey", "node", "n_words", "class_doc")
+    return labelled.join(heads, F.col("root") == F.col("of")).select(
+        "doc", "tkey", "node", "n_words", "root", "class_doc")
 
 
 @query("op6_dart_minhash")

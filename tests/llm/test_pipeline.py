@@ -107,3 +107,12 @@ def test_odd_rows_through_all_stages(spark, odd, none):
         none = written(stage(spark, none, SF), "none")
         assert none.count() == 0
     assert len(ODD) == odd.count()
+
+
+def test_classes_that_share_an_id_stay_apart(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (5, texts[3]), (5, texts[4]),
+            (6, texts[4] + " end"), (7, texts[5]), (None, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in pipeline.drop_near_copies(spark, docs, SF).collect())
+    assert got == Counter([(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (7, texts[5])])
