@@ -260,9 +260,11 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     bands = written(band_rows(searched), "bands")
     crowded = bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     shared = bands.join(crowded.select("band"), "band", "left_semi")
-    met = written(shared, "shared")
+    met = written(shared.distinct(), "shared")  # rows with one id and equal words, or without ids, are one node
     wanted = docs.sparkSession.sparkContext.broadcast(presence_map(met, "node"))
     sets = written(set_rows(searched, wanted), "sets")
+    if not sets.groupBy("node").count().where("count > 1").isEmpty():
+        sets = written(sets.dropDuplicates(["node"]), "sets")
     group = components(links(met, sets, similar))
     labelled = table.join(group, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = labelled.groupBy(F.col("root").alias("of")).agg(F.min("first").alias("class_doc"))

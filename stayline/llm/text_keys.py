@@ -91,19 +91,16 @@ def searched_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(table, searched) of (doc, tkey, text): the word table with ``first``, the smallest id with the same words, and
     the rows without those that copy a smaller id.
 
-    While the ids of copies are few enough to broadcast, copies are left out here; beyond that they take part in the
-    search as well, to the same result.
+    The keys of copies are broadcast while they are few enough, and joined through a shuffle beyond that.
     """
     table = written(word_table(rows), "words")
     alike = (table.groupBy("words_sha256").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
              .select(F.col("words_sha256").alias("same"), "first"))
     table = written(table.join(alike, F.col("words_sha256") == F.col("same"), "left")
                     .withColumn("first", F.coalesce("first", "doc")).drop("same"), "words")
-    copies = table.where("doc > first").select(F.col("doc").alias("copy_doc"), F.col("tkey").alias("copy_key"))
-    if copies.count() > COPIES:
-        return table, rows
+    copies = written(table.where("doc > first").select(F.col("doc").alias("copy_doc"), F.col("tkey").alias("copy_key")).distinct(), "copies")
     same = (F.col("doc") == F.col("copy_doc")) & (F.col("tkey") == F.col("copy_key"))
-    return table, rows.join(F.broadcast(copies), same, "left_anti")
+    return table, rows.join(F.broadcast(copies) if copies.count() <= COPIES else copies, same, "left_anti")
 
 
 def mixed(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stayline.llm import dart_minhash as dm
 from stayline.llm import substring_dedup as sd
+from stayline.llm import text_keys
 from stayline.llm.common import words
 from stayline.llm.text_keys import is_present, presence_map
 
@@ -125,6 +126,28 @@ def test_near_copies_odd_rows(odd, none):
     assert dm.near_duplicates(none).count() == 0
 
 
+def test_copies_are_searched_once_at_every_size(spark, odd, monkeypatch):
+    monkeypatch.setattr(text_keys, "COPIES", 0)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join(base)) for i in range(20)] + [(20 + i, " ".join(base[:-1] + ["other"])) for i in range(20)]
+    rows += [(None, " ".join(base[:-2] + ["none"]))] * 15 + [(50, " ".join(base[1:]) + " " * i) for i in range(15)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    _, searched = text_keys.searched_texts(text_keys.keyed(frame))
+    assert searched.count() == 2 + 30  # copies of a smaller id are left out
+    seen, links = [], dm.links
+    monkeypatch.setattr(dm, "links", lambda bands, sets, similar: seen.append((bands, sets)) or links(bands, sets, similar))
+    got = dm.near_duplicates(frame).collect()
+    assert {r.class_doc for r in got} == {0} and len(got) == len(rows)
+    bands, sets = seen[0]
+    assert sets.count() == sets.select("node").distinct().count() == 4
+    assert bands.count() == bands.select("band", "node").distinct().count()
+    want = Counter(brute_classes([(i, t) for i, t, _ in ODD]))
+    none = (1 << 63) - 1
+    assert Counter(float("inf") if r.class_doc == none else r.class_doc for r in dm.near_duplicates(odd).collect()) == want
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in sd_rows(*sd.remove_repeats(odd))) == Counter(
+        brute_removed([(i, t) for i, t, _ in ODD]))
+
+
 def test_presence_map_never_denies(spark):
     rows = spark.range(5000).select(F.xxhash64("id").alias("h"))
     found = presence_map(rows, "h", 16)
