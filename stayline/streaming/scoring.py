@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import builtins
 import time
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JError
 from pyspark import StorageLevel
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    PySparkException,
+    PythonException,
+    SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,12 +58,71 @@ def split_scored(routed: DataFrame, scorer: Scorer, processed_ts: Column) -> tup
     return envelope(rows, F.col("message_ts"), processed_ts), bad.unionByName(unscored.select(*LETTER))
 
 
-def unscorable(routed: DataFrame, problem: Exception, processed_ts: Column) -> DataFrame:
-    """Dead letters for all messages of a batch whose scorer failed."""
-    reason = (str(problem).strip().splitlines() or [type(problem).__name__])[0]
-    return routed.select(
-        "key", "original_message", F.coalesce("error", F.lit(f"prediction failed: {reason}")).alias("error"),
-        F.coalesce("stage", F.lit(STAGE_PREDICT)).alias("stage"), F.coalesce("failed_at", processed_ts).alias("failed_at"))
+# What an expression or a Python function raises on a row; a failed job of any other kind says nothing about its rows.
+RAISED = (AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
+          NumberFormatException, PythonException, SparkRuntimeException)
+
+
+def scorer_failed(problem: Exception) -> bool:
+    """Whether the scorer raised; otherwise Spark, a disk or the network failed, and the batch is to be done again."""
+    if isinstance(problem, PythonException):  # unindented lines of the trace name what was raised in the worker
+        kinds = [getattr(builtins, line.split(":")[0].strip(), None) for line in str(problem).splitlines()]
+        return not any(isinstance(k, type) and issubclass(k, (OSError, MemoryError)) for k in kinds)
+    if isinstance(problem, RAISED):
+        return True
+    if isinstance(problem, (Py4JError, PySparkException)):  # a JVM function of the scorer, a fitted stage for one
+        return "[FAILED_EXECUTE_UDF" in str(problem)
+    return not isinstance(problem, (OSError, MemoryError))
+
+
+def reason_of(problem: Exception) -> str:
+    return "prediction failed: " + (str(problem).strip().splitlines() or [type(problem).__name__])[0]
+
+
+def message_hash() -> Column:
+    return F.xxhash64("key", "original_message")
+
+
+def mark_failing(routed: DataFrame, scorer: Scorer, processed_ts: Column) -> DataFrame:
+    """The routed messages with an error for those on which the scorer raises. Other failures are raised here.
+
+    Halves of the messages, by their hash, are scored until only single ones fail, which takes about two short jobs for
+    each failing message and each binary digit of the number of messages. Equal messages fail together.
+    """
+    def marked(by: DataFrame, reason: Column) -> DataFrame:
+        failed = F.col("error").isNull() & reason.isNotNull()
+        return by.select(*[{"error": F.coalesce("error", reason), "stage": F.when(failed, STAGE_PREDICT).otherwise(F.col("stage")),
+                            "failed_at": F.when(failed, processed_ts).otherwise(F.col("failed_at"))}.get(c, F.col(c)).alias(c)
+                           for c in routed.columns])
+
+    good = routed.where(F.col("error").isNull())
+    failing, parts = [], [(0, 0)]
+    while parts:
+        bits, tail = parts.pop()
+        part = good.where(message_hash().bitwiseAND(F.lit((1 << bits) - 1)) == tail)
+        try:
+            scored, _ = split_scored(part, scorer, processed_ts)
+        except Exception as problem:  # it cannot be applied, whatever the rows
+            if not scorer_failed(problem):
+                raise
+            return marked(routed, F.lit(reason_of(problem)))
+        try:
+            scored.write.format("noop").mode("overwrite").save()
+        except Exception as problem:
+            if not scorer_failed(problem):
+                raise
+            ends = part.agg(F.min(message_hash()).alias("low"), F.max(message_hash()).alias("high")).first()
+            if ends.low is None:
+                raise  # fails without rows: no message is to blame
+            if ends.low == ends.high or bits == 62:
+                failing.append((ends.low, ends.high, reason_of(problem)))
+            else:
+                parts += [(bits + 1, tail), (bits + 1, tail | (1 << bits))]
+    reasons = {h: reason for low, high, reason in failing for h in (low, high)}
+    if not reasons:
+        return routed
+    found = routed.sparkSession.createDataFrame(list(reasons.items()), "_hash long, _reason string")
+    return marked(routed.join(F.broadcast(found), message_hash() == F.col("_hash"), "left"), F.col("_reason"))
 
 
 def score_messages(messages: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer,
@@ -64,23 +136,37 @@ def score_stream(stream: DataFrame, schema: T.StructType, numeric: Sequence[str]
                  fill: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start scoring a (key, value) stream. Without a trigger it drains what is there and ends.
 
-    When the scorer fails on a batch, the batch's messages become dead letters and the stream goes on.
+    Messages on which the scorer raises become dead letters, the others are scored. When a job fails for another reason,
+    the batch fails and is done again on restart.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         # Both sides read the parsed batch: keep it instead of reading and parsing the source twice.
-        kept = route(batch, schema, list(numeric), now, fill).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [route(batch, schema, list(numeric), now, fill).persist(StorageLevel.MEMORY_AND_DISK)]
+
+        def scored(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+            good, bad = split_scored(routed, scorer, now)
+            kept.append(good.persist(StorageLevel.MEMORY_AND_DISK))
+            good.count()  # a scorer that fails does so here, before anything is published
+            return good, bad
+
         try:
-            good, bad = split_scored(kept, scorer, now)
-            scored = good.persist(StorageLevel.MEMORY_AND_DISK)
-            scored.count()  # a scorer that fails does so here, before anything is published
-        except Exception as problem:  # any failure of the caller's scorer
-            sink(unscorable(kept, problem, now), "dead_letters", batch_id)
-        else:
-            sink(scored, "predictions", batch_id)
+            try:
+                good, bad = scored(kept[0])
+            except Exception as problem:
+                if not scorer_failed(problem):
+                    raise
+                kept.append(mark_failing(kept[0], scorer, now).persist(StorageLevel.MEMORY_AND_DISK))
+                if kept[-1].where(F.col("error").isNull()).isEmpty():  # nothing is left to score
+                    good, bad = None, kept[-1].select(*LETTER)
+                else:
+                    good, bad = scored(kept[-1])
+            if good is not None:
+                sink(good, "predictions", batch_id)
             sink(bad, "dead_letters", batch_id)
-            scored.unpersist()
-        kept.unpersist()
+        finally:
+            for frame in kept:
+                frame.unpersist()
 
     return (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -1,7 +1,9 @@
 import json
+import os
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,6 +194,44 @@ def test_unscored_rows_and_failing_scorers_are_dead_letters(spark, feed, tmp_pat
     assert letters.count() == 19 and letters.where("error like 'prediction failed%'").count() == 16
 
 
+def test_one_failing_message_takes_no_other(spark, feed, tmp_path):
+    def picky(df):
+        wrong = F.col("tenure").cast("int").isin(3, 32)
+        return CARD.score(df).withColumn("score", F.when(wrong, F.raise_error(F.lit("not this one")).cast("double")).otherwise(F.col("score")))
+
+    out = str(tmp_path / "out")
+    score_stream(stream(spark, feed), SCHEMA, ["tenure", "MonthlyCharges"], picky, table_sink(out), f"{out}/c", fixed_time).awaitTermination()
+    letters = read_sink(spark, out, "dead_letters")
+    lost = letters.where("error like 'prediction failed%'").collect()
+    assert {(r.key, r.stage) for r in lost} == {("c3", "prediction"), ("c32", "prediction")} and len(lost) == 2
+    assert all("not this one" in r.error and r.failed_at is not None and r.original_message for r in lost)
+    assert letters.count() == 5 and read_sink(spark, out, "predictions").count() == 14
+
+    def inapplicable(df):
+        raise ValueError("no model")
+
+    out = str(tmp_path / "none")
+    score_stream(stream(spark, feed), SCHEMA, ["tenure", "MonthlyCharges"], inapplicable, table_sink(out), f"{out}/c", fixed_time).awaitTermination()
+    assert read_sink(spark, out, "dead_letters").where("error = 'prediction failed: no model'").count() == 16
+
+
+def test_a_failed_job_is_done_again(spark, feed, tmp_path):
+    @F.udf("double")
+    def dying(score):
+        os._exit(1)  # the worker is lost, as on a full or broken machine
+
+    out = str(tmp_path / "out")
+
+    def run(scorer):
+        score_stream(stream(spark, feed), SCHEMA, ["tenure", "MonthlyCharges"], scorer, table_sink(out), f"{out}/c", fixed_time).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run(lambda df: CARD.score(df).withColumn("score", dying("score")))
+    run(CARD.score)
+    assert read_sink(spark, out, "predictions").count() == 16
+    assert read_sink(spark, out, "dead_letters").count() == 3
+
+
 def test_windows_say_when_time_is_up(spark, feed, tmp_path):
     query = score_stream(stream(spark, feed), SCHEMA, ["tenure"], CARD.score, table_sink(str(tmp_path / "a")), str(tmp_path / "ca"),
                          fixed_time, {"processingTime": "1 hour"})
