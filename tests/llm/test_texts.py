@@ -288,6 +288,22 @@ def test_held_out_accuracy(spark):
     assert np.mean(kept[0]) < 0.3  # poor ones go
 
 
+def test_toxic_texts_go_whatever_their_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    train, test = labels.where("doc_id % 4 > 0"), labels.where("doc_id % 4 = 0")
+    model = quality.fit_model(docs, train)
+    assert 0 < model.weights[model.weights > 0].sum() <= quality.PRAISE + 1e-6
+    graded = quality.grade_documents(docs.join(test.select("doc_id"), "doc_id", "left_semi"), model)
+    got = graded.join(quality.graded(test), F.col("row.doc_id") == F.col("of_doc")).select("grade", "keep", F.col("row.text").alias("text"))
+    kept = defaultdict(list)
+    for r in got.collect():
+        kept[r.grade, len(words(r.text)) >= 200].append(r.keep)
+    assert len(kept[1, True]) > 40 and len(kept[1, False]) > 40
+    assert np.mean(kept[1, True]) < 0.25 and np.mean(kept[1, False]) < 0.25
+    assert np.mean(kept[2, True]) > 0.97 and np.mean(kept[2, False]) > 0.95
+
+
 def test_quality_odd_rows(odd, none, labels, spark):
     model = quality.fit_model(odd.select("doc_id", "text"), labels)
     rows = quality.grade_documents(odd, model).collect()
