@@ -12,6 +12,7 @@ from stayline.llm import (  # noqa: F401
     sentencepiece_fst,
     substring_dedup,
     token_files,
+    warc,
 )
 from stayline.llm.registry import QUERIES, SQL
 
