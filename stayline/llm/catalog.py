@@ -11,6 +11,7 @@ from stayline.llm import (  # noqa: F401
     quality,
     sentencepiece_fst,
     substring_dedup,
+    token_alignment,
     token_files,
     warc,
 )
