@@ -106,7 +106,7 @@ def subscriber_messages(spark, sf):
 
 @query("stream_score_subscribers", """, m as (select customerID, cast(customerID as bigint) k, tenure, MonthlyCharges, trim(TotalCharges) t
   from subscribers where tenure is not null and MonthlyCharges is not null),
-f as (select *, case when k % 7 in (1, 2, 4) or t = '' then 0.0 when k % 7 = 3 then null else try_cast(t as double) end total from m)
+f as (select *, case when k % 7 = 3 then null when k % 7 in (1, 2, 4) or t = '' then 0.0 else try_cast(t as double) end total from m)
 select customerID as customer, case when k % 11 <> 0 and total is not null then
     round(1.0 / (1.0 + exp(-(1.0 - 0.05 * tenure + 0.01 * MonthlyCharges + 0.001 * total))), 6) end as score,
   case when k % 11 = 0 then 'value is not valid JSON' when total is null then 'TotalCharges is not numeric' end as error from f""",
