@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.catalog.registry import query, rounded
-from stayline.operators import ensembles, explain, models
+from stayline.operators import ensembles, explain, models, trees
 from stayline.operators.clean import clean_subscribers
 from stayline.operators.sampling import split_stratified, train_test
+from stayline.operators.scoring import positive_probability
 from stayline.sources.fixtures import subscribers
 
 
@@ -86,6 +87,37 @@ def rf_leaf_shares(spark, sf):
     return _leaf_shares(spark, sf, models.classifier("rf", numTrees=1, featureSubsetStrategy="all", bootstrap=False))
 
 
+# --- explanations of single rows -----------------------------------------------------------------------------------
+
+def _explained(rows, estimator, stages=None):
+    """Fitted tree model, its feature names, and the rows as the model scores them."""
+    prepared = models.prepare(rows, stages)
+    model = estimator.fit(prepared.train)
+    prepared.release()
+    return model, prepared.names, model.transform(prepared.model.transform(rows))
+
+
+@query("tree_contributions", f"""{_CLEAN}
+select customerID, 'band' as feature, round(avg(y) over (partition by tenure < 36) - avg(y) over (), 6) as contribution from c""",
+       ("subscribers",))
+def tree_contributions(spark, sf):
+    """In a tree with one split a row is moved from the mean of all rows to the mean of its side."""
+    rows = labelled(spark, sf).withColumn("band", F.when(F.col("tenure") < 36, "short").otherwise("long"))
+    model, names, scored = _explained(rows, models.classifier("dt"), models.preparation([], ["band"], scaling=None))
+    parts = trees.by_column(trees.tree_contributions(scored, model, [S.KEY], names), [S.KEY], ["band"])
+    return rounded(parts.select(S.KEY, "feature", "contribution"))
+
+
+@query("forest_contributions", f"""{_CLEAN}
+select customerID, 0.0::double as gap from c""", ("subscribers",))
+def forest_contributions(spark, sf):
+    """What is left of a forest's score when its expectation and the contributions of all features are taken off."""
+    model, _, scored = _explained(labelled(spark, sf), models.classifier("rf", numTrees=20, maxDepth=5))
+    rows = trees.explain_rows(scored.withColumn("score", positive_probability()), model, [S.KEY, "score"])
+    total = F.aggregate("contributions", F.col("base"), lambda a, b: a + b)
+    return rows.select(S.KEY, F.abs(F.round(F.col("score") - total, 6)).alias("gap"))
+
+
 def _bases():
     return {"lr": models.classifier("lr"), "dt": models.classifier("dt"), "rf": models.classifier("rf", numTrees=20, maxDepth=5)}
 
