@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.catalog.registry import query, rounded
-from stayline.operators import ensembles, explain, models, trees
+from stayline.operators import ensembles, explain, group_models, models, trees
 from stayline.operators.clean import clean_subscribers
 from stayline.operators.sampling import split_stratified, train_test
 from stayline.operators.scoring import positive_probability
-from stayline.sources.fixtures import subscribers
+from stayline.plans.durable import work_path
+from stayline.sources.fixtures import subscribers, table
 
 
 def labelled(spark, sf):
@@ -87,6 +88,43 @@ def rf_leaf_shares(spark, sf):
     return _leaf_shares(spark, sf, models.classifier("rf", numTrees=1, featureSubsetStrategy="all", bootstrap=False))
 
 
+# --- fitted values per group ---------------------------------------------------------------------------------------
+
+_ORDERED = "partition by {} order by md5(customerID || ':42') rows between unbounded preceding and 1 preceding"
+
+
+@query("target_encode", f"""{_CLEAN}, m as (select avg(y) as p from c)
+select customerID, round((coalesce(sum(y) over a, 0) + p) / (count(*) over a + 1), 6) as Contract_target,
+  round((coalesce(sum(y) over b, 0) + p) / (count(*) over b + 1), 6) as PaymentMethod_target from c, m
+window a as ({_ORDERED.format('Contract')}), b as ({_ORDERED.format('PaymentMethod')})""", ("subscribers",))
+def target_encode(spark, sf):
+    """Categories of training rows by the labels of the rows before them."""
+    encoder = group_models.TargetEncoder(inputCols=["Contract", "PaymentMethod"])
+    return rounded(encoder.encode_training(labelled(spark, sf), S.KEY).select(S.KEY, "Contract_target", "PaymentMethod_target"))
+
+
+@query("target_encode_later", f"""{_CLEAN}, t as (select * from c where cast(customerID as bigint) % 3 <> 0), m as (select avg(y) as p from t),
+g as (select PaymentMethod, sum(y) as s, count(*) as n from t group by 1)
+select customerID, round((coalesce(s, 0) + p * 5) / (coalesce(n, 0) + 5), 6) as PaymentMethod_target
+from c left join g on c.PaymentMethod is not distinct from g.PaymentMethod, m where cast(customerID as bigint) % 3 = 0""", ("subscribers",))
+def target_encode_later(spark, sf):
+    """Rows that come later, by all training rows of their category; the encoder is saved and loaded in between."""
+    rows, later = labelled(spark, sf), F.col(S.KEY).cast("long") % 3 == 0
+    path = work_path(spark, "encoder")
+    group_models.TargetEncoder(inputCols=["PaymentMethod"], weight=5.0).fit(rows.where(~later)).save(path)
+    return rounded(group_models.TargetEncoderModel.load(path).transform(rows.where(later)).select(S.KEY, "PaymentMethod_target"))
+
+
+@query("group_deviation", """
+select o_orderkey, round(o_totalprice - avg(o_totalprice) over (partition by o_custkey), 6) as vs_customer from orders""")
+def group_deviation(spark, sf):
+    """Order totals against the mean of their customer, a group per customer; fitted, saved, loaded and applied."""
+    orders, path = table(spark, sf, "orders"), work_path(spark, "deviation")
+    stage = group_models.GroupMeanDeviation(inputCol="o_totalprice", groupCol="o_custkey", outputCol="vs_customer")
+    stage.fit(orders).save(path)
+    return rounded(group_models.GroupMeanDeviationModel.load(path).transform(orders).select("o_orderkey", "vs_customer"))
+
+
 # --- explanations of single rows -----------------------------------------------------------------------------------
 
 def _explained(rows, estimator, stages=None):

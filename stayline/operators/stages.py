@@ -1,6 +1,6 @@
 """Preprocessing as Spark ML stages that can be fitted, saved and loaded inside an ``ml.Pipeline``.
 
-Fitted values are small (one entry per column or group) and are kept as JSON in a parameter, so they are written
+Fitted values are small (one entry per column or class) and are kept as JSON in a parameter, so they are written
 with the stage's metadata and enter the plan as literals.
 """
 
@@ -24,8 +24,6 @@ from stayline.operators.clean import clean_subscribers, coerce_numeric, modes
 from stayline.operators.features import engineer, iqr_bounds
 from stayline.plans.ordered import exact_quantiles
 
-GROUP_LIMIT = 10_000
-
 
 class _Fitted(Model, DefaultParamsReadable, DefaultParamsWritable):
     """Base of models whose state is a JSON dictionary."""
@@ -137,38 +135,6 @@ class IqrClipperModel(_Fitted, HasInputCols):
         return dataset.withColumns({c: clip(F.col(c).cast("double"), lo, hi) for c, (lo, hi) in self.values.items()})
 
 
-class GroupMeanDeviation(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Value minus the training mean of its group; unseen groups give null.
-
-    For categorical groups. Beyond ``GROUP_LIMIT`` groups use ``features.vs_group_mean``, which joins.
-    """
-
-    groupCol = Param(Params._dummy(), "groupCol", "grouping column", TypeConverters.toString)
-
-    @keyword_only
-    def __init__(self, *, inputCol: str | None = None, groupCol: str | None = None, outputCol: str | None = None):
-        super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
-
-    def _fit(self, dataset: DataFrame) -> GroupMeanDeviationModel:
-        group = self.getOrDefault(self.groupCol)
-        rows = (dataset.where(F.col(group).isNotNull()).groupBy(F.col(group).cast("string").alias("g"))
-                .agg(F.avg(self.getInputCol()).alias("m")).limit(GROUP_LIMIT + 1).collect())
-        if len(rows) > GROUP_LIMIT:
-            raise ValueError(f"{group} has more than {GROUP_LIMIT} groups: use features.vs_group_mean")
-        return self._copyValues(GroupMeanDeviationModel({r["g"]: r["m"] for r in rows}))
-
-
-class GroupMeanDeviationModel(_Fitted, HasInputCol, HasOutputCol):
-    groupCol = Param(Params._dummy(), "groupCol", "grouping column", TypeConverters.toString)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        known = {g: m for g, m in self.values.items() if m is not None}
-        means = F.from_json(F.lit(json.dumps(known)), "map<string,double>")
-        group = F.col(self.getOrDefault(self.groupCol)).cast("string")
-        return dataset.withColumn(self.getOutputCol(), F.col(self.getInputCol()) - F.try_element_at(means, group))
-
-
 class BalancedWeights(Estimator, HasLabelCol, HasWeightCol, DefaultParamsReadable, DefaultParamsWritable):
     """Adds the weight n / (classes * n_class) of the row's class."""
 

@@ -7,8 +7,8 @@ from stayline.operators import ensembles, explain, models, scoring
 from stayline.operators.clean import clean_subscribers
 from stayline.operators.metrics import roc_auc
 from stayline.operators.sampling import split_stratified, train_test
-from stayline.operators.stages import (BalancedWeights, ColumnImputer, Cut, GroupMeanDeviation, IqrClipper,
-                                       SubscriberFeatures)
+from stayline.operators.group_models import GroupMeanDeviation
+from stayline.operators.stages import BalancedWeights, ColumnImputer, Cut, IqrClipper, SubscriberFeatures
 from stayline.sources import models as store
 from stayline.sources.fixtures import subscribers
 
