@@ -7,11 +7,12 @@ signature. Two signatures agree in a coordinate with the probability of the text
 about k (ln k + 4) darts are thrown per text however many shingles it has; more when a coordinate stayed empty.
 
 Signatures are cut into bands; texts that share a band meet in a bucket. At similarity 0.8 a pair misses all buckets with
-probability 1e-5. Inside a bucket nobody is paired with everybody: all are compared with a leader (the one that meets most others in its buckets), then, as long as the
-bucket holds several classes, members of another class than the leader's with a few leaders more. Only those that then
-still stand outside the class most of their bucket is in are compared with all members of other classes, but for those
-that the first leader rules out: distances obey the triangle inequality, so two similar texts are about as near to it.
-Every comparison is exact, on whole sets. So no pair that met in a bucket and reaches the threshold ends in two classes.
+probability 1e-5. Inside a bucket nobody is paired with everybody: all are compared with a leader (the one that meets
+most others in its buckets), then those outside the class that most of the bucket is in with leaders of their own, as
+long as these link a share of them. Who is left is compared with members of other classes by what sets them apart from
+the first leader: two texts that are similar, but not both similar to the leader, differ from it in the same elements, so
+only members that share a rare one of these differences meet (see ``apart``). Every comparison is exact, on whole sets. So
+no pair that met in a bucket and reaches the threshold ends in two classes.
 
 Texts with equal words stand in for each other and are searched once.
 
@@ -37,7 +38,9 @@ from stayline.llm.text_keys import doc_value, is_present, keyed, mixed, node_of,
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 38, 6
-TRIES = 3  # leaders that a bucket's members meet one after another, while they are of different classes
+PROGRESS = 0.1  # share of those it is compared with that a leader must link for its bucket to get another one
+FEW = 50  # members of a bucket that need no further leader
+EPS = 1e-9
 UNITS = 200_000  # darts regions worked on at once
 
 _HASHES = Memo(hash_word)  # per Python worker
@@ -188,50 +191,108 @@ def _fit(a: str, b: str):
     return F.least(a, b) / F.greatest(a, b)
 
 
-def links(bands: DataFrame, sets: DataFrame, similar: float = SIMILAR, tries: int = TRIES) -> DataFrame:
+def _leaders(members: DataFrame, place) -> DataFrame:
+    """(band, lead_node, lead_size, lead_root): the first member of each band by ``place``."""
+    return members.groupBy("band").agg(F.min(F.struct(place.alias("place"), "node", "size", "root")).alias("lead")).select(
+        "band", *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "size", "root")])
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """(band, main): the bands whose members are of several classes, and the class that most of them are in."""
+    held = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+    return held.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("classes")).where(
+        "classes > 1").select("band", "main")
+
+
+def _with_roots(members: DataFrame, linked: DataFrame) -> DataFrame:
+    root = components(linked).withColumnRenamed("root", "new_root")
+    return members.drop("root").join(root, "node", "left").withColumn("root", F.coalesce("new_root", "node")).drop("new_root")
+
+
+def links(bands: DataFrame, sets: DataFrame, similar: float = SIMILAR, progress: float = PROGRESS) -> DataFrame:
     """(a, b) of linked texts: enough links to connect all texts that met in a bucket and are similar."""
     # who meets the most others is likely what they were copied from, and the leader that links most of them
     crowd = bands.groupBy("band").agg(F.count("*").alias("n"))
     met_by = bands.join(crowd, "band").groupBy(F.col("node").alias("of")).agg(F.sum("n").alias("others"))
     members = written(bands.join(met_by, F.col("node") == F.col("of")).select(
         "band", "node", "size", "others", F.col("node").alias("root")), "members")
-    checked = first = linked = None
-    for turn in range(tries):
-        place = F.xxhash64("node", F.lit(turn)) if turn else -F.col("others")
-        lead = members.groupBy("band").agg(F.min(F.struct(place.alias("place"), "node", "size", "root")).alias("lead")).select(
-            "band", *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "size", "root")])
-        met = members.join(lead, "band")
-        ask = met.where((F.col("root") != F.col("lead_root")) & (_fit("size", "lead_size") >= similar)).select(
-            F.greatest("node", "lead_node").alias("a"), F.least("node", "lead_node").alias("b")).distinct()
+    first = written(_leaders(members, -F.col("others")).select("band", "lead_node", "lead_size"), "first")
+    asking, checked = members, None
+    while True:
+        leaders = written(_leaders(asking, -F.col("others") if checked is None else F.xxhash64("node")), "leaders")
+        met = asking.join(leaders, "band").where((F.col("root") != F.col("lead_root")) & (_fit("size", "lead_size") >= similar))
+        met = written(met.select("band", F.greatest("node", "lead_node").alias("a"), F.least("node", "lead_node").alias("b")), "met")
+        ask = met.select("a", "b").distinct()
         if checked is not None:
             ask = ask.join(checked, ["a", "b"], "left_anti")
         fresh = written(compare(written(ask, "ask"), sets), "compared")
+        found = fresh.where(F.col("similar") >= similar).select("a", "b")
+        linked = found if checked is None else linked.unionByName(found)
         checked = fresh if checked is None else checked.unionByName(fresh)
-        if first is None:  # how near each member is to the first leader of its bucket, or could at most be
-            known = fresh.select(F.col("a").alias("node"), F.col("b").alias("lead_node"), F.col("similar").alias("known"))
-            first = written(met.join(known, ["node", "lead_node"], "left").select(
-                "band", "node", F.when(F.col("node") == F.col("lead_node"), 1.0).otherwise(F.col("known")).alias("known"),
-                F.when(F.col("node") == F.col("lead_node"), 1.0).otherwise(
-                    F.coalesce("known", _fit("size", "lead_size"))).alias("most")), "first")
-        linked = checked.where(F.col("similar") >= similar).select("a", "b")
-        root = components(linked).withColumnRenamed("root", "new_root")
-        members = members.drop("root").join(root, "node", "left").withColumn("root", F.coalesce("new_root", "node")).drop("new_root")
-        mixed_ = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        members = written(members.join(mixed_.select("band"), "band", "left_semi"), "members")
-        if members.isEmpty():
-            return linked
-    # who still stands outside the class most of its bucket is in meets everybody of another class it could be similar to
-    held = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-    main = held.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    rows = written(members.join(first, ["band", "node"]).join(main, "band"), "rows")
-    outside = rows.where("root != main").select("band", *[F.col(c).alias(f"{c}_o") for c in ("node", "size", "root", "known", "most")])
-    apart = (F.coalesce(F.col("known") - F.col("most_o") > 1 - similar, F.lit(False))
-             | F.coalesce(F.col("known_o") - F.col("most") > 1 - similar, F.lit(False)))
-    cross = (rows.join(outside, "band").where((F.col("root") != F.col("root_o")) & (_fit("size", "size_o") >= similar) & ~apart)
-             .select(F.greatest("node", "node_o").alias("a"), F.least("node", "node_o").alias("b")).distinct()
-             .join(checked, ["a", "b"], "left_anti"))
-    more = compare(written(cross, "cross"), sets).where(F.col("similar") >= similar).select("a", "b")
-    return written(linked.unionByName(more).distinct(), "links")
+        members = written(_with_roots(members, linked), "members")
+        members = written(members.join(_mixed(members), "band"), "members")
+        # a band with many left goes on with a leader from outside its main class, while leaders link their share
+        moved = (met.join(found.withColumn("yes", F.lit(1)), ["a", "b"], "left").groupBy("band")
+                 .agg(F.count("yes").alias("yes"), F.count("*").alias("asked"))
+                 .where((F.col("asked") > FEW) & (F.col("yes") >= progress * F.col("asked"))))
+        served = leaders.join(members.select("band", F.col("node").alias("lead_node"), F.col("root").alias("served")), ["band", "lead_node"])
+        asking = (members.join(asking.select("band", "node"), ["band", "node"], "left_semi")
+                  .join(moved.select("band"), "band", "left_semi").join(served.select("band", "served"), "band")
+                  .where((F.col("root") != F.col("main")) & (F.col("root") != F.col("served"))).drop("main", "served"))
+        members, asking = members.drop("main"), written(asking, "asking")
+        if asking.isEmpty():
+            break
+    more = compare(written(apart(members, first, sets, similar).join(checked, ["a", "b"], "left_anti"), "cross"), sets)
+    return written(linked.unionByName(more.where(F.col("similar") >= similar).select("a", "b")).distinct(), "links")
+
+
+def apart(members: DataFrame, first: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(a, b), a > b, of members of one band and different classes that may be similar. No similar pair is left out.
+
+    Let D be what a set and the set of the band's first leader L do not share, and k = (1 - t) / (1 + t), so that A and B
+    are similar if |A xor B| <= k (|A| + |B|). As A xor B = D_A xor D_B, that is 2 |D_A and D_B| >= s_A + s_B with the
+    slack s = |D| - k |set|. The one with the larger slack is not similar to L (else both were, and of one class), which
+    bounds both slacks, so the overlap is at least
+
+    * max(s, (k |L| + s) / 2) for the nearer one,
+    * s - k |A| / t for the farther one,
+
+    and at least 1. Two sets with an overlap of o share one of the first |D| - o + 1 elements of each, in any fixed order:
+    the rarest come first, and those that one member alone has need not be sent. Copies with changes of their own share
+    little but what the leader has, so few meet however many they are.
+    """
+    k = (1 - similar) / (1 + similar)
+    rows = written(members.join(first, "band").where("node != lead_node").groupBy("lead_node", "node").agg(
+        F.first("size").alias("size"), F.first("lead_size").alias("lead_size"), F.first("root").alias("root")), "apart")
+    several = rows.groupBy("lead_node").agg(F.count("*").alias("n")).where("n > 1").select("lead_node")
+    rows = rows.join(several, "lead_node", "left_semi")
+    own = sets.select(F.col("node").alias("of"), "elements")
+    lead = sets.select(F.col("node").alias("of_lead"), F.col("elements").alias("lead_elements"))
+    differ = F.concat(F.array_except("elements", "lead_elements"), F.array_except("lead_elements", "elements"))
+    diff = written(rows.join(own, F.col("node") == F.col("of")).join(lead, F.col("lead_node") == F.col("of_lead"))
+                   .select("lead_node", "node", "size", "lead_size", "root", differ.alias("d")), "diff")
+    each = diff.select("lead_node", "node", F.explode("d").alias("e"))
+    shared = each.groupBy("lead_node", "e").agg(F.count("*").alias("n")).where("n > 1")
+    held = each.join(shared, ["lead_node", "e"]).groupBy("lead_node", "node").agg(
+        F.sort_array(F.collect_list(F.struct("n", "e"))).alias("common"))  # no more than the elements of two texts
+    n, c = F.size("d"), F.size("common")
+    slack = n - k * F.col("size")
+    known = diff.join(held, ["lead_node", "node"]).select(
+        "lead_node", "node", "root", "common", slack.alias("slack"), n.alias("n"), c.alias("c"),
+        (n > k * (F.col("size") + F.col("lead_size")) - EPS).alias("outside"),
+        F.greatest(slack, (k * F.col("lead_size") + slack) / 2).alias("near"), (slack - k / similar * F.col("size")).alias("far"))
+    known = written(known, "known")
+
+    def sent(rows: DataFrame, overlap: str, tag: str) -> DataFrame:
+        least = F.greatest(F.ceil(F.col(overlap) - EPS), F.lit(1))
+        first_ones = F.greatest(F.least(F.col("n") - least + 1 - (F.col("n") - F.col("c")), F.col("c")), F.lit(0)).cast("int")
+        return rows.select("lead_node", F.explode(F.slice("common", F.lit(1), first_ones)).alias("_s"), *[
+            F.col(x).alias(f"{x}_{tag}") for x in ("node", "root", "slack", "c")]).withColumn("e", F.col("_s.e")).drop("_s")
+
+    pairs = sent(known.where("outside"), "far", "f").join(sent(known, "near", "n"), ["lead_node", "e"]).where(
+        (F.col("root_f") != F.col("root_n")) & (F.struct("slack_n", "node_n") < F.struct("slack_f", "node_f"))
+        & (F.col("slack_f") + F.col("slack_n") <= 2 * F.least("c_f", "c_n") + EPS))
+    return pairs.select(F.greatest("node_f", "node_n").alias("a"), F.least("node_f", "node_n").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -186,3 +186,60 @@ def test_repeats_across_edges(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in sd_rows(*sd.remove_repeats(frame)))
     assert got == sorted(brute_removed(rows))
+
+
+# ---- a large group of near copies
+
+def near_group(number, edits, words_=150, seed=3, bases=1):
+    """Copies of some base texts with words of their own here and there; edits as many as the random draw says."""
+    random, rows = np.random.RandomState(seed), []
+    texts = [[f"b{k}w{i}" for i in range(words_)] for k in range(bases)]
+    for k in range(1, bases):  # the bases share half of their words with the first
+        texts[k][:words_ // 2] = texts[0][:words_ // 2]
+    for i in range(number):
+        text = list(texts[i % bases])
+        for place in random.randint(0, words_, random.choice(edits)):
+            text[place] = f"own{random.randint(0, 4) if random.rand() < 0.1 else random.randint(0, 1 << 40)}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("edits, bases", [([0, 1, 2, 3, 4, 6, 9, 14], 1), ([4, 5, 6], 1), ([0, 1, 2, 3, 5], 3)])
+def test_large_near_group_keeps_all_links(spark, edits, bases):
+    rows = near_group(260, edits, bases=bases)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc: r.class_doc for r in dm.near_duplicates(df).collect()}
+    assert [got[i] for i, _ in rows] == brute_classes(rows)
+
+
+def test_apart_leaves_out_no_similar_pair(spark):
+    """All members in one band, every pair of different classes that is similar is among the candidates."""
+    rows = near_group(150, [1, 2, 3, 4, 5])
+    bags = {i: dm.cells(dm.shingles(words(t))).view(np.int64) for i, t in rows}
+    sets = spark.createDataFrame([(i, e.tolist()) for i, e in bags.items()], "node long, elements array<long>")
+    lead = 1
+    near = {(a, b): len(set(bags[a]) & set(bags[b])) / len(set(bags[a]) | set(bags[b])) for a in bags for b in bags if b < a}
+    alike = {i for i in bags if i == lead or near[max(i, lead), min(i, lead)] >= 0.8}
+    members = spark.createDataFrame([(7, i, len(e), 1, lead if i in alike else i) for i, e in bags.items()],
+                                    "band long, node long, size int, others long, root long")
+    first = spark.createDataFrame([(7, lead, len(bags[lead]))], "band long, lead_node long, lead_size int")
+    got = {tuple(r) for r in dm.apart(members, first, sets).collect()}
+    want = {p for p, s in near.items() if s >= 0.8 and not (p[0] in alike and p[1] in alike) and lead not in p}
+    assert want and want <= got
+    assert len(got) < len(near) / 2
+
+
+def test_candidates_grow_with_the_group_not_its_square(spark):
+    """Copies with words of their own, about as far from each other as from being similar: hardly any of them meet."""
+    counts = []
+    for n in (400, 1600):
+        rows = near_group(n, [4, 5, 6, 7, 8])
+        keyed = text_keys.keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+        bands = text_keys.written(dm.band_rows(keyed), "bands").distinct()
+        wanted = spark.sparkContext.broadcast(presence_map(bands, "node"))
+        sets = text_keys.written(dm.set_rows(keyed, wanted), "sets")
+        one = bands.groupBy("node").agg(F.first("size").alias("size")).select(
+            F.lit(1).alias("band"), "node", "size", F.lit(1).alias("others"), F.col("node").alias("root"))
+        first = one.orderBy("node").limit(1).select("band", F.col("node").alias("lead_node"), F.col("size").alias("lead_size"))
+        counts.append(dm.apart(text_keys.written(one, "one"), text_keys.written(first, "first"), sets).count())
+    assert counts[1] < 1600 * 8 and counts[1] < 10 * max(counts[0], 100)
