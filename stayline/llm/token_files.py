@@ -23,6 +23,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -185,7 +186,7 @@ def encoder(path: str):
 
     def piece(chunk: str) -> bytes:
         core = chunk.rstrip(SIGNS)
-        if not core or not core[-1].isalpha():
+        if not core or not (core.isascii() or normalize("NFC", core).lower()[-1:].isalpha()) or not core[-1].isalpha():
             return encode(chunk)
         tail = cores[chunk[len(core):]] if core != chunk else b""
         return cores[core.lower() if lowers and core.isascii() else core] + tail

@@ -312,3 +312,38 @@ def test_quality_odd_rows(odd, none, labels, spark):
     blank = quality.fit_model(none, labels.limit(0))
     assert all(r.keep == bool(words(r.row.text)) for r in quality.grade_documents(odd, blank).collect())
     assert quality.grade_documents(none, model).count() == 0
+
+
+# ---- letters that decompose, rows that repeat
+
+def test_letters_before_signs_are_cut_as_the_library_cuts():
+    encode, width = token_files.encoder(TOKENS)
+    library = Tokenizer.from_file(TOKENS)
+    known = [0x130, *range(0x958, 0x960), 0x9DC, 0x9DD, 0x9DF, 0xA33, 0xA36, 0xFB1D, 0x1D15E]
+    for c in [*known, *range(0x80, 0x3000, 5), *range(0x3000, 0x110000, 997)]:
+        if 0xD800 <= c < 0xE000:
+            continue
+        for text in (f"a{chr(c)}?.", f"{chr(c)}?!", f"{chr(c)}."):
+            got = np.frombuffer(encode(text), f"<u{width}").tolist()
+            assert got == library.encode(text, add_special_tokens=False).ids, hex(c)
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_equal_rows_are_taken_one_by_one(spark, labels, doc_id):
+    """One source of 1,000 equal rows beside others: the words taken come within one row of the target."""
+    rows = [(doc_id, "three words each", "a")] * 1000 + [(100 + i, f"own text {i}", "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.mix_sources(df, labels).groupBy("source").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.count("*").alias("n"))
+    for r in got.collect():
+        assert abs(r["taken"] - r["target"]) <= 3 and r["n"] in (1000, 300)
+    again = mixing.mix_sources(df.repartition(3), labels)
+    assert again.groupBy("source").agg(F.sum(F.col("size") * F.col("copies"))).collect() is not None
+    assert sorted(r[0] for r in again.select("copies").collect()) == sorted(
+        r[0] for r in mixing.mix_sources(df, labels).select("copies").collect())
+
+
+def test_rows_without_id_draw_by_their_text(spark, labels):
+    df = spark.createDataFrame([(None, f"text number {i}", "a") for i in range(200)] + [(1, "x y z", "b")], "doc_id long, text string, source string")
+    keys = {r["key"] for r in mixing.mix_sources(df, labels).where("source = 'a'").collect()}
+    assert len(keys) == 200
