@@ -9,8 +9,9 @@ the budget is taken when that comes nearer to it.
 u_i comes from a digest of the document's id, so reruns agree and no random state is kept. Rows are never collected per
 source: totals per (source, key bucket) show in which bucket the budget runs out, and only that bucket is sorted.
 
-Defined results: a null or empty text has size 0 and takes 0 words; rows with equal ids share a key and are ordered by
-size and text digest, so equal rows are interchangeable; a weight of null counts as 1, a weight of 0 or less as never
+Defined results: a null or empty text has size 0 and takes 0 words; a row without id draws by its text; equal rows are
+numbered and draw by their numbers, so they are taken one by one and are interchangeable; other rows with one id share a
+key and are ordered by size and text digest; a weight of null counts as 1, a weight of 0 or less as never
 drawn (complete epochs still hold it); an empty table gives no rows. A source without words has target 0.
 """
 
@@ -26,6 +27,7 @@ from stayline.llm.common import WORD, documents, settle_small, table
 from stayline.llm.registry import query
 from stayline.plans.durable import cut_lineage
 from stayline.plans.ordered import global_rank, range_bounds, with_buckets
+from stayline.plans.small import same_keys
 
 # Fixed values of the mix
 WEIGHTS = (5, 2, 1)
@@ -121,12 +123,41 @@ def with_copies(rows: DataFrame, plan: DataFrame, bounds: list[list[float]]) ->
             .select(*rows.columns, "source_size", "target", "copies"))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Add ``nth``, 0, 1, ... among rows with equal (doc_id, source, size, tie).
+
+    Equal rows are counted per task first and numbered inside it, so a row that a third of the table repeats is spread.
+    """
+    same = ["doc_id", "source", "size", "tie"]
+    rows = cut_lineage(rows.withColumn("part", F.spark_partition_id()))
+    counts = rows.groupBy(*same, "part").agg(F.count("*").alias("n"))
+    often = cut_lineage(counts.groupBy(*same).agg(F.sum("n").alias("times")).where("times > 1").drop("times"))
+    if often.isEmpty():
+        return rows.withColumn("nth", F.lit(0).cast("long")).drop("part")
+    equal = same_keys([F.col(c) for c in same], [F.col(f"of_{c}") for c in same])
+    often = often.select(*[F.col(c).alias(f"of_{c}") for c in same])
+    earlier = W.partitionBy(*same).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = (counts.join(often, equal, "left_semi")
+              .select(*[F.col(c).alias(f"of_{c}") for c in same], F.col("part").alias("of_part"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")))
+    inside = W.partitionBy(*same, "part").orderBy("part")
+    repeated = (rows.withColumn("at", F.row_number().over(inside) - 1)
+                .join(starts, equal & (F.col("part") == F.col("of_part"))).select(*same, (F.col("start") + F.col("at")).alias("nth")))
+    return rows.join(often, equal, "left_anti").select(*same, F.lit(0).cast("long").alias("nth")).unionByName(repeated)
+
+
+def drawn_by(doc_id: Column, digest: Column, nth: Column) -> Column:
+    """What a row's draw follows from: its id, or its text without one, and its number among equal rows."""
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), digest.cast("string")))
+    return F.when(nth > 0, F.concat(name, F.lit("#"), nth.cast("string"))).otherwise(name)
+
+
 def sized(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, source, size, key, tie) of documents; labels, one row per document, are joined by id."""
-    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"))
+    rows = numbered(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")))
     weights = quality_weights(labels)
+    name = drawn_by(F.col("doc_id"), F.col("tie"), F.col("nth"))
     return (rows.join(weights, F.col("doc_id") == F.col("of_doc"), "left")
-            .select("doc_id", "source", "size", sampling_key(F.col("doc_id"), F.col("weight")).alias("key"), "tie"))
+            .select("doc_id", "source", "size", sampling_key(name, F.col("weight")).alias("key"), "tie"))
 
 
 def mix_sources(docs: DataFrame, labels: DataFrame) -> DataFrame:
