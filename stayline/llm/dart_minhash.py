@@ -41,9 +41,9 @@ BANDS, ROWS = 38, 6
 PROGRESS = 0.1  # share of those it is compared with that a leader must link for its bucket to get another one
 FEW = 50  # members of a bucket that need no further leader
 EPS = 1e-9
-UNITS = 200_000  # darts regions worked on at once
+UNITS = 100_000  # darts regions worked on at once
 
-_HASHES = Memo(hash_word)  # per Python worker
+_HASHES = Memo(hash_word, 200_000)  # per Python worker
 
 
 # ------------------------------------------------------------------------------------------------------ signatures
@@ -142,7 +142,7 @@ def band_rows(rows: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> Data
     """(band, node, size) of (doc, tkey, text); ``size`` is the weight of the text's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+            for part in (batch.slice(i, 250) for i in range(0, batch.num_rows, 250)):
                 regions, nodes = [], []
                 for text in part.column(2):
                     tokens = words(text.as_py())

@@ -155,7 +155,7 @@ class Model:
 def _scorer(chosen: bytes, weights: bytes) -> tuple[dict[int, float], Memo]:
     """Per Python worker: weights by bucket, and of each word met the buckets that have one."""
     known = dict(zip(np.frombuffer(chosen, np.int32).tolist(), np.frombuffer(weights, float).tolist()))
-    return known, Memo(lambda word: tuple(b for b in buckets(word) if b in known))
+    return known, Memo(lambda word: tuple(b for b in buckets(word) if b in known), 200_000)
 
 
 def _score(text: str | None, known: dict[int, float], memo: Memo) -> float:
@@ -173,7 +173,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model
     sample = F.broadcast(graded(labels).orderBy(order, "of_doc").limit(rows))  # bounded by ``rows``
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(buckets)
+        memo = Memo(buckets, 50_000)  # a word's buckets take some hundred bytes
         for batch in batches:
             found = [features(t.as_py(), memo) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), list_array(found, pa.int32()), batch.column(2)],
