@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.catalog.registry import query, rounded
-from stayline.operators import ensembles, explain, group_models, models, trees
+from stayline.operators import boosting, ensembles, explain, group_models, models, trees
 from stayline.operators.clean import clean_subscribers
 from stayline.operators.sampling import split_stratified, train_test
 from stayline.operators.scoring import positive_probability
@@ -88,6 +88,37 @@ def rf_leaf_shares(spark, sf):
     return _leaf_shares(spark, sf, models.classifier("rf", numTrees=1, featureSubsetStrategy="all", bootstrap=False))
 
 
+# --- second-order boosting -----------------------------------------------------------------------------------------
+
+_FLAGS = {"is_short": "tenure < 36", "is_monthly": "Contract = 'Month-to-month'", "is_senior": "SeniorCitizen = 1"}
+
+
+@query("boost_stump", f"""{_CLEAN},
+b as (select customerID, y, case when tenure < 36 then 1 else 0 end as is_short, case when Contract = 'Month-to-month' then 1 else 0 end as is_monthly,
+  case when SeniorCitizen = 1 then 1 else 0 end as is_senior from c),
+f as (select customerID, y, 1 as f, is_short as v from b union all select customerID, y, 2, is_monthly from b union all select customerID, y, 3, is_senior from b),
+s as (select f, v, sum(0.5::double - y) as g, count(*) / 4.0::double as h from f group by 1, 2),
+p as (select f, round(sum(g * g / (h + 1)), 9) as gain from s group by 1 having count(*) = 2),
+best as (select f from p order by gain desc, f limit 1)
+select customerID, round(1 / (1 + exp(0.3 * g / (h + 1))), 6) as score from f join best using (f) join s using (f, v)""", ("subscribers",))
+def boost_stump(spark, sf):
+    """One tree with one split, on the flag that SQL finds the best by gain too."""
+    rows = labelled(spark, sf).withColumns({c: F.expr(e).cast("int") for c, e in _FLAGS.items()})
+    model = boosting.fit_boosted(rows, list(_FLAGS), rounds=1, depth=1, rate=0.3)
+    return rounded(model.score(rows).select(S.KEY, "score"))
+
+
+@query("boosted_scores")
+def boosted_scores(spark, sf):
+    """Numeric columns and ordered target statistics of the categories, boosted; later rows get the fitted statistics."""
+    train, _ = split(spark, sf)
+    encoder = group_models.TargetEncoder(inputCols=S.CATEGORICAL_FEATURES)
+    names = [*S.NUMERIC_FEATURES, *[f"{c}_target" for c in S.CATEGORICAL_FEATURES]]
+    model = boosting.fit_boosted(encoder.encode_training(train, S.KEY), names, rounds=20, depth=4, rate=0.3)
+    scored = model.score(encoder.fit(train).transform(labelled(spark, sf)))
+    return scored.select(S.KEY, "label", "score", (F.col("score") > 0.5).cast("int").alias("prediction"))
+
+
 # --- fitted values per group ---------------------------------------------------------------------------------------
 
 _ORDERED = "partition by {} order by md5(customerID || ':42') rows between unbounded preceding and 1 preceding"
