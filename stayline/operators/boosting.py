@@ -127,9 +127,11 @@ def best_split(sums: np.ndarray, l2: float, least_weight: float, least_gain: flo
 
 
 def fit_boosted(df: DataFrame, features: Sequence[str], label: str = "label", rounds: int = 100, depth: int = 5, rate: float = 0.1,
-                l2: float = 1.0, least_weight: float = 1.0, least_gain: float = 0.0, bins: int = 128, base_score: float = 0.5) -> BoostedTrees:
-    """Fit boosted trees on numeric columns."""
-    edges = [[b for b in e if abs(b) != float("inf")] for e in range_bounds(df, list(features), bins)]
+                l2: float = 1.0, least_weight: float = 1.0, least_gain: float = 0.0, bins: int = 128, base_score: float = 0.5,
+                edges: list[list[float]] | None = None) -> BoostedTrees:
+    """Fit boosted trees on numeric columns. Bins come from a sketch of each column, which differs a little with the
+    partitioning, or are the ``edges`` of an earlier fit."""
+    edges = edges or [[b for b in e if abs(b) != float("inf")] for e in range_bounds(df, list(features), bins)]
     model = BoostedTrees(list(features), edges, log(base_score / (1 - base_score)))
     n_bins = max(len(e) for e in edges) + 2
     rows = cut_lineage(df.where(F.col(label).isNotNull()).select(

@@ -68,7 +68,7 @@ def test_models_survive_text_and_do_not_depend_on_partitions(data):
     model = B.fit_boosted(data, ["a", "b", "c"], rounds=2, depth=3)
     again = B.BoostedTrees.from_json(model.to_json())
     assert again == model
-    other = B.fit_boosted(data.repartition(7), ["a", "b", "c"], rounds=2, depth=3)
+    other = B.fit_boosted(data.repartition(7), ["a", "b", "c"], rounds=2, depth=3, edges=model.edges)
     assert [t.splits for t in other.trees] == [t.splits for t in model.trees]
 
 
