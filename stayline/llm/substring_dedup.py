@@ -4,9 +4,10 @@ A window is WINDOW consecutive words of one document. Words covered by a window
 in a document with a smaller id are removed; windows are judged on the input.
 
 Seeds: hashes of GRAM words, winnowed, so that every window has an anchor that depends on its words alone (the smallest
-gram hash in it). Documents are joined on anchors; anchors of one document only cannot lie in a repeat. Extension: from
-each shared anchor all windows that have it as theirs are followed left and right; a window counts when its whole word
-sequence recurs, and adjoining ones merge into the maximal repeat. A repeat shorter than a window has no such window.
+gram hash in it). Anchors of one document only cannot lie in a repeat. Around each shared anchor all windows that have it
+as theirs are followed left and right, and a window counts when its whole word sequence recurs: windows are compared by
+their hashes. The words that adjoining windows cover are the repeat; it is not kept as a span of its own. A repeat shorter
+than a window has no such window.
 
 What crosses a shuffle is hashes: anchors, combined per map task, and the windows around shared ones. Texts move only for
 documents that have seeds. Documents with equal words stand in for each other: only the smallest id is searched, the
