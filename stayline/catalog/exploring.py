@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.catalog.registry import query, rounded
 from stayline.functions.binning import risk_level, tenure_bin
-from stayline.operators import clean, explore, runs, sampling
+from stayline.operators import clean, explore, runs, sampling, sketches
 from stayline.operators.features import prepare_table
 from stayline.operators.metrics import long_scores
+from stayline.plans.small import join_groups, settle
 from stayline.sources.fixtures import messages, model_scores, scored, subscribers, table
 from stayline.streaming.messages import batch_summary, window_counts
 
@@ -109,6 +110,34 @@ def profile(spark, sf):
     return rounded(explore.profile(subscribers(spark, sf).select(*[f.name for f in _PROFILED])))
 
 
+_SKETCHED = ["user_id", "event_type", "value", "props"]
+
+
+@query("distinct_sketches", " union all ".join(f"""select '{c}' as "column", count(*) as rows, count({c}) as non_null,
+  count(distinct date_trunc('day', ts)) as days, true as within from events""" for c in _SKETCHED))
+def distinct_sketches(spark, sf):
+    """Sketches a day, united; whether the number of distinct values is within four standard errors of the exact one."""
+    events = table(spark, sf, "events").withColumn("day", F.date_trunc("day", "ts"))
+    daily = sketches.distinct_sketches(events, _SKETCHED, ["day"])
+    united = join_groups(sketches.distinct_estimates(daily), settle(daily.groupBy("column").agg(F.count_distinct("day").alias("days"))),
+                         ["column"])
+    exact = explore.column_report(events.select(*_SKETCHED)).select("column", F.col("n_unique").alias("exact"))
+    off = F.abs(F.col("n_unique") - F.col("exact"))
+    return join_groups(united, settle(exact), ["column"]).select(
+        "column", "rows", "non_null", "days", (off <= 4 * sketches.distinct_error() * F.col("exact")).alias("within"))
+
+
+_HEAVY = ["l_suppkey", "l_partkey", "l_quantity", "l_returnflag", "l_extendedprice"]
+
+
+@query("heavy_values", " union all ".join(f"""select '{c}' as "column", value, n, total from (
+  select cast({c} as {"bigint" if c == "l_quantity" else "varchar"})::varchar as value, count(*) as n, (select count({c}) from lineitem) as total
+  from lineitem where {c} is not null group by 1) where n >= 0.005::double * total""" for c in _HEAVY))
+def heavy_values(spark, sf):
+    rows = table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("long"))
+    return sketches.heavy_values(rows.select(*_HEAVY), _HEAVY, 0.005)
+
+
 _CHECKED = [*S.BINARY_COLUMNS, "PaymentMethod", "InternetService"]
 
 
