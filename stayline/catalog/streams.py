@@ -7,15 +7,18 @@ from pyspark.sql import types as T
 
 from stayline import schema as S
 from stayline.catalog.cleaning import edge_time
-from stayline.catalog.registry import query
+from stayline.catalog.registry import query, rounded
 from stayline.functions.scalars import to_number
 from stayline.operators.scoring import Scorecard
 from stayline.plans.durable import work_path
+from stayline.plans.small import join_groups, settle
 from stayline.sources.fixtures import messages_from_events, subscribers, table
 from stayline.sources.tables import read_stream
+from stayline.streaming.latency import latency_quantiles, read_summaries, record_latency
 from stayline.streaming.progress import ProgressLog
 from stayline.streaming.scoring import dedup_stream, score_stream
 from stayline.streaming.sinks import read_sink, table_sink
+from stayline.streaming.windows import count_windows_stream, open_windows, undecodable_text
 
 # Fixed scorecard over the event value
 CARD = Scorecard(-1.0, {"value": 0.02})
@@ -130,3 +133,48 @@ def stream_score_subscribers(spark, sf):
 def scored_subscribers(df):
     numbers = df.withColumn("TotalCharges", to_number("TotalCharges"))
     return SUBSCRIBER_CARD.score(numbers).withColumn("score", F.round("score", 6))
+
+
+@query("stream_count_windows", """, o as (select e.user_id % 8 as lane, event_id, json_valid(messages.value) as good,
+  row_number() over (partition by e.user_id % 8 order by event_id) - 1 as n from messages join events e using (event_id))
+select lane, n // 100 as window_id, count(*) as messages, count(*) filter (good) as predictions, count(*) filter (not good) as errors,
+  min(event_id) as first_sequence, max(event_id) as last_sequence, case when count(*) = 100 then 'full' else 'open' end as closed
+from o group by 1, 2""", ("messages",))
+def stream_count_windows(spark, sf):
+    """The feed comes in three parts, with a restart before each: windows go on across them."""
+    out = work_path(spark, "windows")
+    events = table(spark, sf, "events")
+    feed = messages_from_events(events).join(events.select("event_id", (F.col("user_id") % 8).alias("lane")), "event_id")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (high - low) // 3 + 1
+    for part in range(3):
+        cut = F.col("event_id").between(low + part * step, low + (part + 1) * step - 1)
+        feed.where(cut).write.mode("append").parquet(f"{out}/in")
+        windows = count_windows_stream(read_stream(spark, "parquet", {}, feed.schema, f"{out}/in"), F.col("lane"),
+                                       F.col("event_id"), undecodable_text())
+        finished(windows.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
+                 .trigger(availableNow=True).start(f"{out}/rows"))
+    return spark.read.parquet(f"{out}/rows").unionByName(open_windows(spark, f"{out}/checkpoint"))
+
+
+@query("stream_latency", """select event_type, count(*) as messages, round(avg((1000 * (event_id % 977) + 250000) / 1e6), 6) as mean_s,
+  round(max((1000 * (event_id % 977) + 250000) / 1e6), 6) as max_s, true as p50_within, true as p95_within from events group by 1""")
+def stream_latency(spark, sf):
+    """Quantiles from the summaries of a stream, and whether their exact ranks are within 0.01 (3.6 times the stated error)."""
+    out = work_path(spark, "latency")
+    seconds = latency_of_events()
+    finished(record_latency(event_stream(spark, sf), ["event_type"], seconds, f"{out}/summaries", f"{out}/checkpoint"))
+    read = latency_quantiles(read_summaries(spark, f"{out}/summaries"), ["event_type"], [0.5, 0.95])
+    ranks = join_groups(table(spark, sf, "events").select("event_type", seconds.alias("s")), settle(read.select("event_type", "q")),
+                        ["event_type"])
+    within = ranks.groupBy("event_type").agg(*[
+        ((F.avg((F.col("s") < F.col("q")[i]).cast("int")) - 0.01 <= p) & (F.avg((F.col("s") <= F.col("q")[i]).cast("int")) + 0.01 >= p))
+        .alias(name) for i, (p, name) in enumerate([(0.5, "p50_within"), (0.95, "p95_within")])])
+    facts = read.select("event_type", "messages", F.col("mean").alias("mean_s"), F.col("greatest").alias("max_s"))
+    return rounded(join_groups(facts, settle(within), ["event_type"]))
+
+
+def latency_of_events():
+    """Seconds from an event to its processing, which follows from its number."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    return (F.unix_micros(F.timestamp_micros(micros + 250000 + 1000 * (F.col("event_id") % 977))) - micros) / 1e6
