@@ -16,7 +16,7 @@ from stayline.sources.fixtures import messages_from_events, subscribers, table
 from stayline.sources.tables import read_stream
 from stayline.streaming.latency import latency_quantiles, read_summaries, record_latency
 from stayline.streaming.progress import ProgressLog
-from stayline.streaming.scoring import dedup_stream, score_stream
+from stayline.streaming.scoring import dedup_stream, score_messages, score_stream
 from stayline.streaming.sinks import read_sink, table_sink
 from stayline.streaming.windows import count_windows_stream, open_windows, undecodable_text
 
@@ -178,3 +178,17 @@ def latency_of_events():
     """Seconds from an event to its processing, which follows from its number."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     return (F.unix_micros(F.timestamp_micros(micros + 250000 + 1000 * (F.col("event_id") % 977))) - micros) / 1e6
+
+
+@query("passthrough_fields", """, v as (select json_extract_string(value, '$.customerID') as customer, json_extract(value, '$.value') as x,
+  json_extract_string(value, '$.event_ts') as event_ts, json_extract(value, '$.event_type') as kind from messages where json_valid(value))
+select customer, event_ts, round(1.0 / (1.0 + exp(-(-1.0 + cast(x as double) * 0.02))), 6) as score,
+  case when kind is null then '{}' else cast(json_object('event_type', kind) as varchar) end as unlisted from v""", ("messages",))
+def passthrough_fields(spark, sf):
+    """The event type is not among the fields that are read; predictions carry it along."""
+    listed = T.StructType([f for f in S.event_schema().fields if f.name != "event_type"])
+    feed = messages_from_events(table(spark, sf, "events")).drop("event_id")
+    sent, _ = score_messages(feed, listed, ["value"], rounded_score, edge_time(), unlisted=True)
+    v = F.from_json("value", "customerID string, event_ts string, churn_probability double, unlisted variant")
+    return sent.select(v.alias("v")).select(F.col("v.customerID").alias("customer"), "v.event_ts",
+                                            F.col("v.churn_probability").alias("score"), F.to_json("v.unlisted").alias("unlisted"))

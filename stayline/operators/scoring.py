@@ -56,11 +56,12 @@ def predictions(df: DataFrame, score: str = "score", key: str = S.KEY, threshold
         risk_level(p).alias("risk_level"), confidence(p).alias("confidence_score"), *extra)
 
 
-def envelope(df: DataFrame, event_ts: Column, processed_ts: Column, key: str = S.KEY) -> DataFrame:
-    """(key, value) messages of scored rows; the processing time is given by the caller."""
+def envelope(df: DataFrame, event_ts: Column, processed_ts: Column, key: str = S.KEY, unlisted: Column | None = None) -> DataFrame:
+    """(key, value) messages of scored rows; the processing time is given by the caller, ``unlisted`` is carried along."""
     fields = F.struct(
         F.col(key).alias("customerID"), "churn_probability", "prediction", "confidence_score",
-        event_ts.alias("event_ts"), iso_timestamp(processed_ts).alias("processed_ts"))
+        event_ts.alias("event_ts"), iso_timestamp(processed_ts).alias("processed_ts"),
+        *([] if unlisted is None else [unlisted.alias("unlisted")]))
     return df.select(F.col(key).alias("key"), F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 

@@ -12,7 +12,7 @@ from stayline import schema as S
 from stayline.functions.scalars import iso_timestamp, to_number
 from stayline.operators.clean import align_schema, validate_rows
 
-CORRUPT, TEXT = "_corrupt", "_text"
+CORRUPT, TEXT, UNLISTED = "_corrupt", "_text", "_unlisted"
 STAGE_DECODE, STAGE_PREDICT = "decode", "prediction"
 
 
@@ -43,6 +43,22 @@ def _converted(text: Column, kind: T.DataType) -> Column:
     return text if isinstance(kind, T.StringType) else text.try_cast(kind)
 
 
+def unlisted_fields(value: Column | str, schema: T.StructType) -> Column:
+    """The fields of a JSON object that the schema does not name, as a JSON object again; ``{}`` when it names all.
+
+    Values keep their type (``5`` and ``"5"`` stay apart), whatever they are: numbers are written in their shortest form, the
+    fields of an object inside them by name. Of a repeated field the last one counts. Null for what is no JSON object, and
+    for an object with a repeated field inside one of its values.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    fields = F.from_json(value.cast("string"), "map<string,variant>")
+    rest = F.map_filter(fields, lambda k, _: ~k.isin([f.name for f in schema.fields]))
+    names = F.map_keys(rest)
+    last = F.map_from_entries(F.filter(F.map_entries(rest), lambda e, i: ~F.array_contains(
+        F.slice(names, i + 2, F.size(names)), e["key"])))
+    return F.to_json(F.when(F.size(names) == F.size(F.array_distinct(names)), rest).otherwise(last))
+
+
 def is_corrupt() -> Column:
     return F.col("v").isNull() | F.col(f"v.{CORRUPT}").isNotNull()
 
@@ -71,13 +87,14 @@ def undecodable(df: DataFrame, schema: T.StructType, failed_at: Column) -> DataF
 
 
 def route(df: DataFrame, schema: T.StructType, numeric: list[str], failed_at: Column,
-          fill: Mapping[str, object] | None = None) -> DataFrame:
+          fill: Mapping[str, object] | None = None, unlisted: bool = False) -> DataFrame:
     """Every message once, with ``error`` and ``stage`` null when it can be scored. One pass, no second parse.
 
     ``fill`` gives the value of a field that is absent, null or blank; it is filled in before numbers are checked. Text
-    that is there and is no number stays an error.
+    that is there and is no number stays an error. ``unlisted`` adds ``_unlisted``, see ``unlisted_fields``.
     """
     parsed = parse(df, schema)
+    carried = [unlisted_fields("value", schema).alias(UNLISTED)] if unlisted else []
 
     def field(f: T.StructField) -> Column:
         value = F.col(f"v.{f.name}")
@@ -87,7 +104,7 @@ def route(df: DataFrame, schema: T.StructType, numeric: list[str], failed_at: Co
         return value.alias(f.name)
 
     flat = parsed.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("original_message"),
-                         is_corrupt().alias("_bad"), *[field(f) for f in schema.fields])
+                         is_corrupt().alias("_bad"), *carried, *[field(f) for f in schema.fields])
     checked = validate_rows(flat, [f.name for f in schema.fields], numeric, "_invalid")
     return (checked.withColumn("error", F.when(F.col("_bad"), "value is not valid JSON").otherwise(F.col("_invalid")))
             .withColumn("stage", F.when(F.col("_bad"), STAGE_DECODE).when(F.col("_invalid").isNotNull(), STAGE_PREDICT))

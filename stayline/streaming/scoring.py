@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stayline import schema as S
 from stayline.operators.scoring import envelope, positive_probability, predictions
-from stayline.streaming.messages import STAGE_PREDICT, dead_letter, route
+from stayline.streaming.messages import STAGE_PREDICT, UNLISTED, dead_letter, route
 from stayline.streaming.sinks import Sink
 
 # Adds a score column: a scorecard, or a fitted pipeline followed by ``score_with_model``.
@@ -50,12 +50,13 @@ def split_scored(routed: DataFrame, scorer: Scorer, processed_ts: Column) -> tup
     # the explode keeps the filters on the score above the filter on errors: merged, rows in error would be scored
     scored = scored.select(*[c for c in scored.columns if c != "score"], F.explode(F.array("score")).alias("score"))
     known = F.col("score").isNotNull() & ~F.isnan("score")
-    rows = predictions(scored.where(known).withColumn(S.KEY, F.coalesce(S.KEY, "key")).select(S.KEY, "score", "message_ts"),
-                       extra=["message_ts"])
+    extra = ["message_ts", *[c for c in routed.columns if c == UNLISTED]]
+    rows = predictions(scored.where(known).withColumn(S.KEY, F.coalesce(S.KEY, "key")).select(S.KEY, "score", *extra), extra=extra)
     unscored = scored.where(~F.coalesce(known, F.lit(False))).select("key", *dead_letter(
         "message_text", F.lit("the model gave no score"), F.lit(STAGE_PREDICT), processed_ts))
     bad = routed.where(F.col("error").isNotNull()).select(*LETTER)
-    return envelope(rows, F.col("message_ts"), processed_ts), bad.unionByName(unscored.select(*LETTER))
+    carried = F.parse_json(UNLISTED) if UNLISTED in extra else None
+    return envelope(rows, F.col("message_ts"), processed_ts, unlisted=carried), bad.unionByName(unscored.select(*LETTER))
 
 
 # What an expression or a Python function raises on a row; a failed job of any other kind says nothing about its rows.
@@ -126,14 +127,16 @@ def mark_failing(routed: DataFrame, scorer: Scorer, processed_ts: Column) -> Dat
 
 
 def score_messages(messages: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer,
-                   processed_ts: Column, fill: Mapping[str, object] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(predictions, dead letters) of a table of messages; ``fill`` replaces blank or absent fields before scoring."""
-    return split_scored(route(messages, schema, list(numeric), processed_ts, fill), scorer, processed_ts)
+                   processed_ts: Column, fill: Mapping[str, object] | None = None,
+                   unlisted: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(predictions, dead letters) of a table of messages; ``fill`` replaces blank or absent fields before scoring, and
+    ``unlisted`` carries the fields that the schema does not name into the predictions' field of that name."""
+    return split_scored(route(messages, schema, list(numeric), processed_ts, fill, unlisted), scorer, processed_ts)
 
 
 def score_stream(stream: DataFrame, schema: T.StructType, numeric: Sequence[str], scorer: Scorer, sink: Sink, checkpoint: str,
                  clock: Callable[[], Column] = F.current_timestamp, trigger: dict | None = None,
-                 fill: Mapping[str, object] | None = None) -> StreamingQuery:
+                 fill: Mapping[str, object] | None = None, unlisted: bool = False) -> StreamingQuery:
     """Start scoring a (key, value) stream. Without a trigger it drains what is there and ends.
 
     Messages on which the scorer raises become dead letters, the others are scored. When a job fails for another reason,
@@ -142,7 +145,7 @@ def score_stream(stream: DataFrame, schema: T.StructType, numeric: Sequence[str]
     def each(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         # Both sides read the parsed batch: keep it instead of reading and parsing the source twice.
-        kept = [route(batch, schema, list(numeric), now, fill).persist(StorageLevel.MEMORY_AND_DISK)]
+        kept = [route(batch, schema, list(numeric), now, fill, unlisted).persist(StorageLevel.MEMORY_AND_DISK)]
 
         def scored(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
             good, bad = split_scored(routed, scorer, now)

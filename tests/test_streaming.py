@@ -281,3 +281,25 @@ def test_subscriber_messages_leave_the_target_behind(spark):
     value = json.loads(replay.subscriber_messages(df, F.lit("t")).first()["value"])
     assert value == {"customerID": "a", "event_ts": "t"}
     assert "Churn" not in S.subscriber_message_schema().names
+
+
+def test_unlisted_fields_keep_their_types(spark):
+    cases = {'{"customerID":"a","x":5,"y":"5","z":{"k":[1,2.50,null],"b":"t"},"n":null}': '{"x":5,"y":"5","z":{"b":"t","k":[1,2.5,null]},"n":null}',
+             '{"customerID":"a"}': "{}", "{}": "{}", "{bad": None, "[]": None, "": None, '{"x":1,"w":0,"x":2}': '{"w":0,"x":2}',
+             '{"o":{"k":1,"k":2}}': None}
+    df = spark.createDataFrame([(v,) for v in [*cases, None]], "value string")
+    got = {r[0]: r[1] for r in df.select("value", M.unlisted_fields("value", SCHEMA)).collect()}
+    assert got == {**cases, None: None}
+
+
+def test_the_stream_carries_unlisted_fields(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("c1", body(1, plan={"since": 2020, "tags": ["a"]}, note="n")), ("c2", body(2)), ("c3", "{bad"),
+            ("c4", body(4)[:-1] + ', "twice": {"k": 1, "k": 2}}')]
+    spark.createDataFrame(rows, MESSAGES).coalesce(1).write.parquet(f"{root}/in")
+    score_stream(stream(spark, f"{root}/in"), SCHEMA, ["tenure", "MonthlyCharges"], CARD.score, table_sink(f"{root}/out"),
+                 f"{root}/checkpoint", fixed_time, unlisted=True).awaitTermination()
+    sent = {r["key"]: json.loads(r["value"]) for r in read_sink(spark, f"{root}/out", "predictions").collect()}
+    assert sent["c1"]["unlisted"] == {"plan": {"since": 2020, "tags": ["a"]}, "note": "n"}
+    assert sent["c2"]["unlisted"] == {} and sent["c4"]["unlisted"] is None and len(sent) == 3
+    assert read_sink(spark, f"{root}/out", "dead_letters").count() == 1
