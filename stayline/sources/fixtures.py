@@ -5,7 +5,7 @@ The SQL below is valid in Spark and in DuckDB; Spark reads ``{orders}``-style na
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SUBSCRIBERS_SQL = """
@@ -90,15 +90,15 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MODELS_SQL, subscribers=subscribers(spark, sf_dir))
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
-    """(event_id, key, value) envelopes; works on a table and on a stream."""
+def messages_from_events(events: DataFrame, *also: Column) -> DataFrame:
+    """(event_id, key, value) envelopes and the columns asked for; works on a table and on a stream."""
     payload = F.to_json(F.struct(
         F.col("user_id").cast("string").alias("customerID"), "event_type", "value",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_ts")))
     return events.select(
         "event_id",
         F.when(F.col("event_id") % 20 != 0, F.col("user_id").cast("string")).alias("key"),
-        F.when(F.col("event_id") % 50 == 0, "{bad").otherwise(payload).alias("value"))
+        F.when(F.col("event_id") % 50 == 0, "{bad").otherwise(payload).alias("value"), *also)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
