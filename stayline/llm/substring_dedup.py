@@ -4,10 +4,14 @@ A window is WINDOW consecutive words of one document. Words covered by a window
 in a document with a smaller id are removed; windows are judged on the input.
 
 Seeds: hashes of GRAM words, winnowed, so that every window has an anchor that depends on its words alone (the smallest
-gram hash in it). Anchors of one document only cannot lie in a repeat. Around each shared anchor all windows that have it
-as theirs are followed left and right, and a window counts when its whole word sequence recurs: windows are compared by
-their hashes. The words that adjoining windows cover are the repeat; it is not kept as a span of its own. A repeat shorter
-than a window has no such window.
+gram hash in it). Anchors of one document only cannot lie in a repeat. Occurrences meet on shared anchors: every window
+that has such an anchor as its own is led to its source, the first place in the smallest document with the same anchor and
+words (windows are compared by their hashes).
+
+Extension: windows are followed to both sides along the diagonal, window after window of a text beside window after window
+of one source, as far as words agree. What comes of it are spans, ``repeat_spans``: matches of WINDOW words or more that
+cannot be made longer with this source as the smallest. Where a smaller document takes over, its own span begins, and the
+two overlap by a window less a word. A repeat shorter than a window gives none. Words inside spans are cut.
 
 What crosses a shuffle is hashes: anchors, combined per map task, and the windows around shared ones. Texts move only for
 documents that have seeds. Documents with equal words stand in for each other: only the smallest id is searched, the
@@ -16,7 +20,8 @@ occurrence, combined before it is shuffled.
 
 Defined results: a null or empty text has no words; fewer words than a window are never removed; equal windows inside one
 document, or in rows with the same id, are not repeats of a smaller id; null ids come after all others. Of equal rows
-each is reported.
+each is reported; their spans are listed once. The place in a source is that in one of its rows, should several share
+the id.
 """
 
 from __future__ import annotations
@@ -76,35 +81,76 @@ def anchor_rows(rows: DataFrame, window: int, gram: int, wanted=None) -> DataFra
 
 
 def window_rows(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """(h1, h2, doc, row, pos) of the windows of (doc, row, text, seeds) whose anchor is a seed."""
+    """(h1, h2, doc, row, pos, again) of the windows of (doc, row, text, seeds) whose anchor is a seed; ``again`` if the
+    text had the window before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _each(batches):
-            parts, counts = [], []
+            parts, counts, again = [], [], []
             for hashes, seeds in zip(texts, batch.column(3)):
                 own = np.isin(anchors(hashes, window, gram), np.asarray(seeds.values).view(np.uint64))
                 at = np.flatnonzero(own)
                 counts.append(len(at))
                 parts.append((window_hashes(hashes, window, 2)[at], window_hashes(mix(hashes), window, 3)[at], at))
+                later = np.ones(len(at), bool)
+                later[np.unique(parts[-1][0], return_index=True)[1]] = False
+                again.append(later)
             h1, h2, at = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.uint64),) * 3
             yield pa.RecordBatch.from_arrays(
                 [as_long(h1), pa.array((h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                 *[pa.array(np.repeat(batch.column(i).to_numpy(), counts)) for i in (0, 1)], pa.array(at.astype(np.int32))],
-                ["h1", "h2", "doc", "row", "pos"])
+                 *[pa.array(np.repeat(batch.column(i).to_numpy(), counts)) for i in (0, 1)], pa.array(at.astype(np.int32)),
+                 pa.array(np.concatenate(again) if again else np.empty(0, bool))],
+                ["h1", "h2", "doc", "row", "pos", "again"])
 
-    return rows.select("doc", "row", "text", "seeds").mapInArrow(run, "h1 long, h2 int, doc long, row long, pos int")
+    return rows.select("doc", "row", "text", "seeds").mapInArrow(run, "h1 long, h2 int, doc long, row long, pos int, again boolean")
 
 
-def cut_rows(rows: DataFrame, window: int) -> DataFrame:
-    """(doc, tkey, n_removed, kept, kept_sha256) of (doc, tkey, text, starts): words outside the repeated windows."""
+def extended(repeats: DataFrame, window: int) -> DataFrame:
+    """(row, start, end, source, source_start) of (row, pos, low, low_pos): windows of a text joined along the diagonal."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the run that may go on in the next batch: row, start, source, source_start, its last window
+        for batch in batches:
+            row, pos, low, low_pos = (batch.column(i).to_numpy() for i in range(4))
+            if last is not None:
+                end = last[4]
+                row, pos, low, low_pos = (np.r_[v, x] for v, x in zip(
+                    (last[0], end, last[2], last[3] + end - last[1]), (row, pos, low, low_pos)))
+            if not len(row):
+                continue
+            twice = np.r_[False, (row[1:] == row[:-1]) & (pos[1:] == pos[:-1])]  # equal rows share their number
+            row, pos, low, low_pos = (x[~twice] for x in (row, pos, low, low_pos))
+            new = np.r_[True, (row[1:] != row[:-1]) | (low[1:] != low[:-1]) | (pos[1:] != pos[:-1] + 1)
+                        | (low_pos[1:] != low_pos[:-1] + 1)]
+            first = np.flatnonzero(new)
+            ends = pos[np.r_[first[1:], len(pos)] - 1]
+            runs = [x[first] for x in (row, pos, low, low_pos)]
+            if last is not None:  # the first run began in an earlier batch
+                runs[1][0], runs[3][0] = last[1], last[3]
+            last = (*[int(x[-1]) for x in runs], int(ends[-1]))
+            yield _spans(runs[0][:-1], runs[1][:-1], ends[:-1], runs[2][:-1], runs[3][:-1])
+        if last is not None:
+            yield _spans(*[np.array([last[i]]) for i in (0, 1, 4, 2, 3)])
+
+    def _spans(row, start, end, source, source_start) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row, pa.int64()), pa.array(start.astype(np.int32)), pa.array((end + window).astype(np.int32)),
+             pa.array(source, pa.int64()), pa.array(source_start.astype(np.int32))],
+            ["row", "start", "end", "source", "source_start"])
+
+    return repeats.select("row", "pos", "low", "low_pos").repartition("row").sortWithinPartitions("row", "pos").mapInArrow(
+        run, "row long, start int, end int, source long, source_start int")
+
+
+def cut_rows(rows: DataFrame) -> DataFrame:
+    """(doc, tkey, n_removed, kept, kept_sha256) of (doc, tkey, text, spans): words outside the spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, kept = [], []
-            for text, starts in zip(batch.column(2), batch.column(3)):
+            for text, spans in zip(batch.column(2), batch.column(3)):
                 tokens = words(text.as_py())
                 edge = np.zeros(len(tokens) + 1, np.int64)
-                at = np.unique(np.asarray(starts.values))
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + window, -1)
+                start, end = (np.asarray(x) for x in spans.values.flatten())
+                np.add.at(edge, start, 1)
+                np.add.at(edge, end, -1)
                 stay = np.cumsum(edge)[:-1] == 0
                 removed.append(len(tokens) - int(stay.sum()))
                 kept.append(" ".join([tokens[i] for i in np.flatnonzero(stay).tolist()]))
@@ -113,13 +159,14 @@ def cut_rows(rows: DataFrame, window: int) -> DataFrame:
                  pa.array([hashlib.sha256(k.encode("utf-8", "surrogatepass")).hexdigest() for k in kept], pa.string())],
                 ["doc", "tkey", "n_removed", "kept", "kept_sha256"])
 
-    return rows.select("doc", "tkey", "text", "starts").mapInArrow(
+    return rows.select("doc", "tkey", "text", "spans").mapInArrow(
         run, "doc long, tkey long, n_removed int, kept string, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(words, cut): the word table of all rows with ``first``, the smallest id with the same words, and the rows of
-    ``cut_rows`` for texts that lose words to another text. Rows with a smaller ``first`` lose all words."""
+def repeat_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(words, texts, spans): the word table of all rows with ``first``, the smallest id with the same words; the rows
+    that may have seeds as (doc, tkey, text); and (doc, tkey, start, end, source, source_start), matches of the words
+    [start, end) with a smaller document. Rows with a smaller ``first`` are copies as a whole and have no spans."""
     spark = docs.sparkSession
     table, searched = searched_texts(keyed(docs))
     # seeds
@@ -140,11 +187,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
     moved = searched.where(maybe(place))
     seeded = moved.join(seeds, ["doc", "tkey"])
     found = written(window_rows(seeded, window, gram), "windows")
-    first_at = (found.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.count("*").alias("times"))
-                .where("times > 1").select("h1", "h2", "low"))
-    repeats = (found.join(first_at, ["h1", "h2"]).where("doc > low").groupBy("row").agg(F.collect_list("pos").alias("starts"))
-               .join(seeds.select("row", "doc", "tkey"), "row"))
-    return table, cut_rows(moved.join(repeats, ["doc", "tkey"]), window)
+    first_at = (found.where("not again").groupBy("h1", "h2")
+                .agg(F.min("doc").alias("low"), F.min_by("pos", "doc").alias("low_pos"), F.count("*").alias("times"))
+                .where("times > 1").select("h1", "h2", "low", "low_pos"))
+    repeats = found.join(first_at, ["h1", "h2"]).where("doc > low")
+    spans = written(extended(repeats, window).join(seeds.select("row", "doc", "tkey"), "row").drop("row"), "spans")
+    return table, moved, spans.select("doc", "tkey", "start", "end", "source", "source_start")
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """(words, cut): the word table of ``repeat_spans`` and the rows of ``cut_rows`` for texts with spans. Rows with a
+    smaller ``first`` lose all words."""
+    table, texts, spans = repeat_spans(docs, window, gram)
+    listed = spans.groupBy("doc", "tkey").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return table, cut_rows(texts.join(listed, ["doc", "tkey"]))
 
 
 OP8_SQL = rf"""

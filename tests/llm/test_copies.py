@@ -188,6 +188,54 @@ def test_repeats_across_edges(spark):
     assert got == sorted(brute_removed(rows))
 
 
+def brute_spans(rows, window=13):
+    """Windows beside the first place in the smallest document, joined while both sides go on."""
+    texts = {i: words(t) for i, t in rows}
+    places = {}
+    for i in sorted(texts):
+        for at in range(len(texts[i]) - window + 1):
+            places.setdefault(tuple(texts[i][at:at + window]), (i, at))
+    out = []
+    for i, tokens in texts.items():
+        run = None
+        for at in range(len(tokens) - window + 1):
+            source, place = places[tuple(tokens[at:at + window])]
+            if source == i:
+                run = None
+            elif run and run[3] == source and run[4] - run[1] == place - at:
+                run[2] = at + window
+            else:
+                run = [i, at, at + window, source, place]
+                out.append(run)
+    return sorted(map(tuple, out))
+
+
+@pytest.mark.parametrize("batch", [10_000, 7])
+def test_spans_are_maximal_matches(spark, batch):
+    random = np.random.RandomState(5)
+    passages = [[f"s{k}w{i}" for i in range(random.randint(13, 120))] for k in range(6)]
+    rows = []
+    for i in range(1, 61):
+        text = [f"d{i}w{j}" for j in range(random.randint(0, 30))]
+        for _ in range(random.randint(1, 4)):
+            passage = passages[random.randint(0, 6)]
+            lo = random.randint(0, len(passage) // 2)
+            text += passage[lo:lo + random.randint(5, 100)] + [f"d{i}x{random.randint(0, 99)}"] * random.randint(0, 20)
+        rows.append((i, " ".join(text)))
+    rows += [(70, "again " * 60), (71, "so again " + "again " * 90)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = [(r.doc, r.start, r.end, r.source, r.source_start) for r in sd.repeat_spans(frame)[2].collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(got) == brute_spans(rows) and len(got) > 40
+    texts = {i: words(t) for i, t in rows}
+    for doc, start, end, source, at in got:
+        assert end - start >= 13 and texts[doc][start:end] == texts[source][at:at + end - start]
+
+
 # ---- a large group of near copies
 
 def near_group(number, edits, words_=150, seed=3, bases=1):
