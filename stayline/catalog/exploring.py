@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.catalog.registry import query, rounded
 from stayline.functions.binning import risk_level, tenure_bin
-from stayline.operators import clean, explore, runs, sampling, sketches
+from stayline.operators import clean, explore, runs, sampling, sketches, wide
 from stayline.operators.features import prepare_table
 from stayline.operators.metrics import long_scores
 from stayline.plans.small import join_groups, settle
@@ -195,6 +195,19 @@ def correlation(spark, sf):
     return rounded(explore.correlation(table(spark, sf, "lineitem"), LINE_NUMBERS))
 
 
+_GAPS = {"l_quantity": "l_linenumber = 3", "l_tax": "l_orderkey % 5 = 0", "l_discount": "l_linenumber = 2"}
+
+
+@query("correlation_blocks", "with l as (select * replace (" + ", ".join(
+    f"case when not ({gap}) then {c} end as {c}" for c, gap in _GAPS.items()) + ") from lineitem) " + " union all ".join(
+    f"select '{a}' as column_a, '{b}' as column_b, count(*) filter ({a} is not null and {b} is not null) as n, round(corr({a}, {b}), 6) as r from l"
+    for a in LINE_NUMBERS for b in LINE_NUMBERS))
+def correlation_blocks(spark, sf):
+    """Some values are blanked, so that pairs differ in their rows."""
+    rows = table(spark, sf, "lineitem").withColumns({c: F.when(~F.expr(gap), F.col(c)) for c, gap in _GAPS.items()})
+    return rounded(wide.correlation_blocks(rows, LINE_NUMBERS))
+
+
 @query("box_stats", """
 with q as (select l_returnflag, quantile_cont(l_extendedprice, 0.25) q25, quantile_cont(l_extendedprice, 0.5) q50,
   quantile_cont(l_extendedprice, 0.75) q75 from lineitem group by 1),

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.catalog.registry import query, rounded
-from stayline.operators import boosting, ensembles, explain, group_models, models, trees
+from stayline.operators import boosting, ensembles, explain, group_models, models, newton, trees
 from stayline.operators.clean import clean_subscribers
-from stayline.operators.sampling import split_stratified, train_test
+from stayline.operators.sampling import folds_stratified, split_stratified, train_test
 from stayline.operators.scoring import positive_probability
 from stayline.plans.durable import work_path
 from stayline.sources.fixtures import subscribers, table
@@ -203,6 +203,31 @@ def blend_scores(spark, sf):
     return ensembles.blending(train, _bases()).transform(labelled(spark, sf))
 
 
+_CONTRACTS = ["Month-to-month", "One year", "Two year"]
+
+
+@query("fold_score_equations", f"""{_CLEAN}, f as (select *, cast(tenure as int) % 3 as fold from c),
+k as (select distinct fold, Contract from f where fold is not null)
+select k.fold, k.Contract, round(avg(y), 6) as score
+from k join f on k.Contract is not distinct from f.Contract and k.fold <> f.fold group by 1, 2""", ("subscribers",))
+def fold_score_equations(spark, sf):
+    """Without penalty the score of a category is the share of churners among the rows of the other folds."""
+    rows = labelled(spark, sf).select("Contract", "label", (F.col("tenure").cast("int") % 3).alias("fold"), F.array(
+        *[F.coalesce((F.col("Contract") == c).cast("double"), F.lit(0.0)) for c in _CONTRACTS]).alias("features"))
+    scored = newton.held_out_scores(rows, newton.fit_folds(rows))
+    return rounded(scored.select("fold", "Contract", F.col("scores")[0].alias("score")).where("fold is not null").distinct())
+
+
+@query("penalty_grid")
+def penalty_grid(spark, sf):
+    """Penalties of a logistic model over five stratified folds, all fitted together."""
+    prepared = models.prepare(labelled(spark, sf))
+    folds = folds_stratified(prepared.train, S.KEY, ["label"], 5)
+    found = newton.compare_penalties(folds, [0.0001, 0.001, 0.01, 0.1, 1.0])
+    prepared.release()
+    return found
+
+
 @query("grid_search")
 def grid_search(spark, sf):
     """Logistic regression over inverse strength and penalty, 5 folds."""
