@@ -106,6 +106,19 @@ def test_wrong_type_is_a_dead_letter(spark):
     assert M.undecodable(df, SCHEMA, fixed_time()).count() + M.decode(df, SCHEMA).count() == 3
 
 
+def test_values_that_are_no_object_are_told_without_their_fields(spark):
+    names = [f.name for f in SCHEMA.fields]
+    values = [None, "", " ", "null", "true", "5", '"text"', "[]", "[1, 2]", "{}", "{", "}", '{"a"', '{"a": 1', '{"a": }', "{'a': 1}",
+              '{"a": 1} more', '{"a": 1}{"b": 2}', '[{"a": 1}]', '[{"a": 1}, {"a": 2}]', '[{"a": 1}, 5]', '{"a": [1, {"b": }]}',
+              '{"a": 01}', '{"a": NaN}', '{"a": "unended}', '{"a": 1,}', '{"a": 1, "a": 2}', "\u00a0{}", '{"_corrupt": "x"}']
+    for name in names:
+        values += [f'{{"{name}": {v}}}' for v in ("null", "1", '"x"', "[1]", '{"y": 1}', "tru", "1e999", '"\\ud800"', '{"y": }')]
+    df = spark.createDataFrame([(i, "k", v) for i, v in enumerate(values)], "i int, key string, value string").repartition(3)
+    long = {r["i"] for r in M.parse(df, SCHEMA).where(M.is_corrupt()).collect()}
+    assert {r["i"] for r in df.where(M.no_object("value")).collect()} == long
+    assert 0 in long and values.index("{}") not in long
+
+
 def test_count_windows_have_no_loss(spark):
     df = spark.range(250).select(M.count_window("id", 100).alias("w")).groupBy("w").count()
     assert {r["w"]: r["count"] for r in df.collect()} == {0: 100, 1: 100, 2: 50}
