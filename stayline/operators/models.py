@@ -38,6 +38,7 @@ DEFAULTS = {
 # --- End of fixed values ---
 CLASSES = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier, "dt": DecisionTreeClassifier}
 ROWS_PER_TASK = 2000  # below this a training task is mostly overhead
+MOST_ROWS = 200_000  # above this a training task gets another one beside it
 
 
 def classifier(name: str, weight: str | None = None, **params: object) -> Estimator:
@@ -103,6 +104,21 @@ class Prepared:
         self.train.unpersist()
 
 
+def deal_out(table: DataFrame, *key: str) -> DataFrame:
+    """A checkpointed table in as many partitions as an iterative fit should have tasks: a share for every core.
+
+    A small table was coalesced into few partitions, but fits are bound by computing. A large one has as many as its last
+    shuffle, and each of a fit's hundreds of jobs pays for every task: with its start, its result, and the sums of all
+    nodes or centres that it hands on. Cores get further shares only when a share has more than ``MOST_ROWS`` rows.
+    """
+    cores, rows, have = table.sparkSession.sparkContext.defaultParallelism, table.count(), table.rdd.getNumPartitions()
+    most = cores * max(1, -(-rows // (cores * MOST_ROWS)))
+    wanted = min(most, -(-rows // ROWS_PER_TASK))
+    if have < wanted:
+        return table.repartition(wanted, *key)
+    return table.coalesce(most) if have > most else table
+
+
 def prepare(train: DataFrame, stages: Pipeline | None = None, keep: Sequence[str] = (S.KEY, "label"),
             resample: str | None = None) -> Prepared:
     """Fit the preparation once and keep only what classifiers read, so every fit starts from vectors.
@@ -118,11 +134,7 @@ def prepare(train: DataFrame, stages: Pipeline | None = None, keep: Sequence[str
     raw.unpersist()
     if resample:
         table = cut_lineage(balance(table, resample))
-    # A small table was coalesced into few partitions, but fits are bound by computing: give every core its share.
-    wanted = min(table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // ROWS_PER_TASK))
-    if table.rdd.getNumPartitions() < wanted:
-        table = table.repartition(wanted, keep[0])
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    table = deal_out(table, keep[0]).persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(model, table, feature_names(out))
 
 
@@ -228,7 +240,7 @@ def segments(df: DataFrame, features: Sequence[str] = ("tenure", "MonthlyCharges
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)])
     scaler = vectors.fit(complete)
-    table = scaler.transform(complete).select("features", features[0]).persist(StorageLevel.MEMORY_AND_DISK)
+    table = deal_out(cut_lineage(scaler.transform(complete).select("features", features[0]))).persist(StorageLevel.MEMORY_AND_DISK)
     table.count()
     with ThreadPoolExecutor(4) as pool:  # independent starts on one cached table
         fits = list(pool.map(lambda i: KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="_cluster").fit(table),

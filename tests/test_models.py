@@ -192,3 +192,30 @@ def test_fold_scores_of_a_fitted_model(spark):
     dealt = models.fold_scores(sampling.folds_stratified(rows, "customerID", ["label"], 4), fit)
     gate = metrics.stability(dealt).first()
     assert gate.folds == 4 and gate.stable and gate.mean_score > 0.9
+
+
+@pytest.fixture
+def many_tasks(spark):
+    """Shuffles of forty partitions, as tables at size have them."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield spark.sparkContext.defaultParallelism
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def recorded(monkeypatch, kind):
+    """The partitions of every table that ``kind`` is fitted on."""
+    seen, fit = [], kind.fit
+    monkeypatch.setattr(kind, "fit", lambda self, df, *a: (seen.append(df.rdd.getNumPartitions()), fit(self, df, *a))[1])
+    return seen
+
+
+def test_segments_run_a_task_per_core(spark, many_tasks, monkeypatch):
+    seen = recorded(monkeypatch, models.KMeans)
+    df = spark.range(400).select("id", (F.col("id") % 4 * 20).cast("double").alias("tenure"),
+                                 (F.col("id") % 4 * 50 + F.col("id") % 3).cast("double").alias("MonthlyCharges"))
+    out = models.segments(df.repartition(40, "id"), starts=2)
+    assert len(seen) == 2 and max(seen) <= many_tasks
+    assert out.where("segment = tenure / 20").count() == 400
