@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline import schema as S
-from stayline.operators.models import classifier, fit_all, prepare, scores
+from stayline.operators.models import classifier, deal_out, fit_all, prepare, scores
 from stayline.operators.sampling import folds_stratified, split_stratified, train_test
 from stayline.operators.scoring import positive_probability, vote_hard, vote_soft
 from stayline.plans.durable import cut_lineage
@@ -68,7 +68,8 @@ def stacking(train: DataFrame, estimators: Mapping[str, Estimator], meta: Estima
              folds: int = S.CV_FOLDS, seed: int = S.SEED) -> Ensemble:
     """The meta model learns from out-of-fold scores; bases are refitted on everything."""
     prepared = prepare(train)
-    marked = cut_lineage(folds_stratified(prepared.train, S.KEY, ["label"], folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    marked = cut_lineage(folds_stratified(prepared.train, S.KEY, ["label"], folds, seed))
+    marked = deal_out(marked, S.KEY).persist(StorageLevel.MEMORY_AND_DISK)
     held_out = None
     for fold in range(folds):
         models = fit_all(marked.where(F.col("fold") != fold).drop("fold"), estimators)

@@ -219,3 +219,28 @@ def test_segments_run_a_task_per_core(spark, many_tasks, monkeypatch):
     out = models.segments(df.repartition(40, "id"), starts=2)
     assert len(seen) == 2 and max(seen) <= many_tasks
     assert out.where("segment = tenure / 20").count() == 400
+
+
+def test_prepared_tables_have_a_task_per_core(spark, many_tasks, data):
+    prepared = models.prepare(data[1].repartition(40, S.KEY))
+    assert prepared.train.rdd.getNumPartitions() <= many_tasks
+    assert prepared.train.count() == data[1].count()
+    prepared.release()
+
+
+def test_folds_have_a_task_per_core(spark, many_tasks, monkeypatch):
+    rows = spark.range(400).select(F.col("id").cast("string").alias(S.KEY), (F.col("id") % 10).cast("double").alias("x"),
+                                   F.when(F.col("id") % 10 > 5, 1.0).otherwise(0.0).alias("label"))
+    train = models.VectorAssembler(inputCols=["x"], outputCol="features").transform(rows).repartition(40, S.KEY)
+    seen, lr = recorded(monkeypatch, models.CrossValidator), models.classifier("lr", maxIter=5)
+    _, table = models.cross_validate(train, lr, models.grid(lr, {"regParam": [0.0, 0.1]}))
+    assert len(seen) == 1 and seen[0] <= many_tasks
+    assert all(r["mean_auc"] > 0.99 for r in table.collect())
+
+
+def test_stacked_folds_have_a_task_per_core(spark, many_tasks, data, monkeypatch):
+    seen, fit = [], ensembles.fit_all
+    monkeypatch.setattr(ensembles, "fit_all", lambda df, e: (seen.append(df.rdd.getNumPartitions()), fit(df, e))[1])
+    out = ensembles.stacking(data[1], {"lr": models.classifier("lr", maxIter=5)}, folds=2).transform(data[0])
+    assert len(seen) == 3 and max(seen) <= many_tasks
+    assert out.count() == data[0].count()
