@@ -24,6 +24,7 @@ from stayline.llm.text_keys import doc_key, written
 from stayline.llm.token_files import vocabulary_path
 
 COPIES = 1_000_000  # ids that may be broadcast
+STRETCHES = 200_000  # solved by a worker and kept: workers hold what earlier stages remember too
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +74,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, decoded_sha256, round_trip of every document of the mix."""
-    return sentencepiece_fst.encode_pieces(docs, vocabulary_path("piece_bpe_32k.model"))
+    return sentencepiece_fst.encode_pieces(docs, vocabulary_path("piece_bpe_32k.model"), stretches=STRETCHES)
 
 
 STAGES = [("quality", keep_good), ("lines", drop_lines), ("near copies", drop_near_copies), ("mix", mix),

@@ -64,6 +64,26 @@ class Memo(dict):
         return value
 
 
+class Recent(Memo):
+    """A Memo of at most ``limit`` keys that, when full, forgets those that were not asked for of late.
+
+    Keys live in two halves. A full new half takes the place of the old one, and a key found in the old half moves on, so
+    frequent keys stay and those asked for once go.
+    """
+
+    def __init__(self, make: Callable, limit: int = CACHE):
+        super().__init__(make, max(1, limit // 2))
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        value = self.old[key] if key in self.old else self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def word_hashes(tokens: list[str], memo: Memo) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
 

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm.common import Memo, documents, list_array, slices
+from stayline.llm.common import Memo, Recent, documents, list_array, slices
 from stayline.llm.registry import query
 from stayline.llm.token_files import vocabulary_path
 
@@ -46,7 +46,7 @@ STOP = object()
 class PieceTransducer:
     """Pieces, ranks and settings of one model; see the module's text."""
 
-    def __init__(self, path: str, memory: int = 500_000):
+    def __init__(self, path: str, memory: int = 500_000, stretches: int | None = None):
         from sentencepiece import sentencepiece_model_pb2 as format_
 
         model = format_.ModelProto()
@@ -76,7 +76,8 @@ class PieceTransducer:
         self.pairs = Memo(self._may_follow, memory)
         self.halves, self.ordered = Memo(self._halves, memory), Memo(self._in_order, memory)
         self.stable = Memo(lambda piece: len(piece) == 1 or self._merged(piece) == [piece], memory)
-        self.solved = Memo(self._solve, 2 * memory)
+        # most stretches come once: a bound of its own keeps the frequent ones in less memory, for more computing
+        self.solved = Memo(self._solve, 2 * memory) if stretches is None else Recent(self._solve, stretches)
         self.stretch = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
     # ---- normaliser
@@ -231,20 +232,22 @@ class PieceTransducer:
 
 
 @lru_cache(maxsize=2)
-def transducer(path: str) -> PieceTransducer:
+def transducer(path: str, stretches: int | None = None) -> PieceTransducer:
     """One machine per Python worker, so later tasks find its solved stretches."""
-    return PieceTransducer(path)
+    return PieceTransducer(path, stretches=stretches)
 
 
-def encode_pieces(docs: DataFrame, model: str, columns: tuple[str, str] = ("doc_id", "text")) -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str, columns: tuple[str, str] = ("doc_id", "text"),
+                  stretches: int | None = None) -> DataFrame:
     """(doc_id, ids, n_tokens, decoded_sha256, round_trip): the ids of every text, and what decoding them gives.
 
-    Runs where the rows are: no shuffle, memory of one slice of a batch and the bounded memory of solved stretches.
+    Runs where the rows are: no shuffle, memory of one slice of a batch and the bounded memory of solved stretches
+    (``stretches`` of them at most, if given).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(model)
+        machine = transducer(model, stretches)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 4 << 20):
                 ids, shas, same, valid = [], [], [], []
                 for text in part.column(1):
                     text = text.as_py()

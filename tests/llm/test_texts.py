@@ -347,3 +347,16 @@ def test_rows_without_id_draw_by_their_text(spark, labels):
     df = spark.createDataFrame([(None, f"text number {i}", "a") for i in range(200)] + [(1, "x y z", "b")], "doc_id long, text string, source string")
     keys = {r["key"] for r in mixing.mix_sources(df, labels).where("source = 'a'").collect()}
     assert len(keys) == 200
+
+
+def test_bounded_stretches_keep_the_frequent_ones():
+    from stayline.llm.common import Recent
+
+    made = []
+    memo = Recent(lambda key: (made.append(key), key * 2)[1], 8)
+    assert all(memo[0] == 0 and memo[i] == 2 * i for i in range(1, 100))
+    assert made.count(0) == 1 and len(memo) + len(memo.old) <= 8
+    whole, small = sentencepiece_fst.PieceTransducer(PIECES), sentencepiece_fst.PieceTransducer(PIECES, stretches=10)
+    texts = [f"the word{i} and the other {i * 7}" for i in range(200)]
+    assert [small.encode(t) for t in texts] == [whole.encode(t) for t in texts]
+    assert len(small.solved) + len(small.solved.old) <= 10
