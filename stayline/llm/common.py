@@ -84,6 +84,21 @@ class Recent(Memo):
         return value
 
 
+_KEPT: dict = {}
+
+
+def kept_alone(make: Callable, *args):
+    """``make(*args)``, made once and kept by the Python worker until it is asked for another one.
+
+    A worker serves stage after stage; what it remembers for one must not stay beside what the next one needs.
+    """
+    key = (make, args)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make(*args)
+    return _KEPT[key]
+
+
 def word_hashes(tokens: list[str], memo: Memo) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import Memo, as_long, documents, hash_word, list_array, settle_small, window_hashes, word_hashes, words
+from stayline.llm.common import Memo, as_long, documents, hash_word, kept_alone, list_array, settle_small, window_hashes, word_hashes, words
 from stayline.llm.registry import query
 from stayline.llm.text_keys import doc_value, is_present, keyed, mixed, node_of, presence_map, searched_texts, word_digest, written
 
@@ -43,7 +43,7 @@ FEW = 50  # members of a bucket that need no further leader
 EPS = 1e-9
 UNITS = 100_000  # darts regions worked on at once
 
-_HASHES = Memo(hash_word, 200_000)  # per Python worker
+HASHES = 200_000  # of words, kept by a Python worker
 
 
 # ------------------------------------------------------------------------------------------------------ signatures
@@ -53,7 +53,7 @@ def shingles(tokens: list[str], width: int = SHINGLE) -> np.ndarray:
     if not tokens:
         return np.empty(0, np.uint64)
     width = min(width, len(tokens))
-    return np.sort(window_hashes(word_hashes(tokens, _HASHES), width, width))
+    return np.sort(window_hashes(word_hashes(tokens, kept_alone(Memo, hash_word, HASHES)), width, width))
 
 
 def cells(sorted_hashes: np.ndarray) -> np.ndarray:

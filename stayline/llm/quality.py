@@ -19,16 +19,14 @@ document, are left out, a null toxic mark counts as 0; a text without words (nul
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import Memo, documents, list_array, table, words
+from stayline.llm.common import Memo, documents, kept_alone, list_array, slices, table, words
 from stayline.llm.registry import query
 
 BITS = 18
@@ -37,6 +35,7 @@ LEAST_ROWS = 10  # sample documents a bucket must occur in
 ASSOCIATION = 5.0  # standard errors by which it must go with a grade
 PENALTY, RATE, ROUNDS = 1e-3, 0.1, 150
 PRAISE = 8.0  # bound of the sum of all weights above 0
+PART = 500_000  # features the fit works on at once
 KEEP = 0.7  # with PRAISE chosen on held-out labels, for clean texts kept and toxic ones caught
 CERTAIN = 50.0
 
@@ -64,7 +63,7 @@ def features(text: str | None, memo: dict) -> np.ndarray:
     found: set[int] = set()
     for word in set(words(text)):
         found.update(memo[word])
-    return np.fromiter(found, np.int32, len(found))
+    return np.sort(np.fromiter(found, np.int32, len(found)))
 
 
 # -------------------------------------------------------------------------------------------------------- fitting
@@ -86,28 +85,38 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = 3) -> tuple[
     cuts = np.arange(1, n_grades)
     if n == 0:
         return np.empty(0, np.int32), np.empty(0), np.full(len(cuts), -CERTAIN)
-    at = np.repeat(np.arange(n), [len(r) for r in rows])
-    bucket = np.concatenate(rows)
     size = 1 << BITS
-    count = np.bincount(bucket, minlength=size)
+    held = np.zeros((n_grades, size), np.int64)  # texts of each grade that have a bucket
+    for row, grade in zip(rows, grades.tolist()):  # row by row: an array over all features of all texts takes too much memory
+        np.add.at(held[grade], row, 1)
+    count = held.sum(0)
     share = count / n
     strength = np.zeros(size)
     for k in cuts:
         above = (grades >= k).astype(float)
         var = above.var() * n * share * (1 - share)
-        moved = np.bincount(bucket, (above - above.mean())[at], size)
+        moved = held[k:].sum(0) - above.mean() * count
         strength = np.maximum(strength, np.abs(moved) / np.sqrt(np.where(var > 0, var, np.inf)))
     chosen = np.flatnonzero((count >= LEAST_ROWS) & (strength >= ASSOCIATION)).astype(np.int32)
-    place = np.full(size, -1)
+    place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    inside = place[bucket] >= 0
-    col, at = place[bucket[inside]], at[inside]
+    at, col = (np.empty(count[chosen].sum(), np.int32) for _ in range(2))
+    end = 0
+    for i, row in enumerate(rows):
+        inside = place[row]
+        inside = inside[inside >= 0]
+        at[end:end + len(inside)], col[end:end + len(inside)] = i, inside
+        end += len(inside)
+    del held, count, share, strength, place
+    parts = [(at[i:i + PART], col[i:i + PART]) for i in range(0, end, PART)]
     values = np.concatenate([np.zeros(len(chosen)), np.linspace(-2, -1, len(cuts))])
     first, second = np.zeros_like(values), np.zeros_like(values)
     lines = np.arange(n)
     for step in range(1, ROUNDS + 1):
         weight, limit = values[:len(chosen)], values[len(chosen):]
-        z = np.bincount(at, weight[col], n)
+        z = np.zeros(n)
+        for line, place in parts:
+            np.add.at(z, line.astype(np.intp), weight[place])
         tail = np.ones((n, n_grades + 1))
         tail[:, 1:-1] = sigmoid(z[:, None] - limit[None, :])
         tail[:, -1] = 0
@@ -117,8 +126,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = 3) -> tuple[
         by_limit = np.zeros((n, n_grades + 1))
         by_limit[lines, grades] -= low * (1 - low) / chance
         by_limit[lines, grades + 1] += high * (1 - high) / chance
-        slope = np.concatenate([np.bincount(col, by_z[at], len(chosen)) / n - PENALTY * weight,
-                                by_limit[:, 1:-1].mean(0)])
+        by_weight = np.zeros(len(chosen))
+        for line, place in parts:
+            np.add.at(by_weight, place.astype(np.intp), by_z[line])
+        slope = np.concatenate([by_weight / n - PENALTY * weight, by_limit[:, 1:-1].mean(0)])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope ** 2
         values = values + RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
         weight, values[len(chosen):] = values[:len(chosen)], np.maximum.accumulate(values[len(chosen):])
@@ -136,10 +147,10 @@ class Model:
         """z of each text."""
         packed = (self.chosen.tobytes(), self.weights.tobytes())
 
-        @F.pandas_udf("double")
-        def score(texts: pd.Series) -> pd.Series:
-            known, memo = _scorer(*packed)
-            return pd.Series([_score(t, known, memo) for t in texts], dtype="float64")
+        @F.arrow_udf("double")
+        def score(texts: pa.Array) -> pa.Array:
+            known, memo = kept_alone(_scorer, *packed)
+            return pa.array([_score(t.as_py(), known, memo) for t in texts], pa.float64())
 
         return score(text)
 
@@ -151,9 +162,8 @@ class Model:
         return [tail(limit) for limit in self.limits]
 
 
-@lru_cache(maxsize=2)
 def _scorer(chosen: bytes, weights: bytes) -> tuple[dict[int, float], Memo]:
-    """Per Python worker: weights by bucket, and of each word met the buckets that have one."""
+    """Weights by bucket, and of each word met the buckets that have one."""
     known = dict(zip(np.frombuffer(chosen, np.int32).tolist(), np.frombuffer(weights, float).tolist()))
     return known, Memo(lambda word: tuple(b for b in buckets(word) if b in known), 200_000)
 
@@ -175,9 +185,10 @@ def fit_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(buckets, 50_000)  # a word's buckets take some hundred bytes
         for batch in batches:
-            found = [features(t.as_py(), memo) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(found, pa.int32()), batch.column(2)],
-                                             ["doc_id", "found", "grade"])
+            for part in slices(batch, 1, 4 << 20):
+                found = [features(t.as_py(), memo) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), list_array(found, pa.int32()), part.column(2)],
+                                                 ["doc_id", "found", "grade"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows_, ids, grades = [], [], []
@@ -186,7 +197,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model
             grades += batch.column(2).to_pylist()
             rows_ += [np.asarray(x.values) for x in batch.column(1)]
         order_ = np.argsort(np.array(ids, np.int64), kind="stable")  # the fit does not depend on the order of arrival
-        model = fit([np.sort(rows_[i]) for i in order_], np.array(grades, np.int64)[order_])
+        model = fit([rows_[i] for i in order_], np.array(grades, np.int64)[order_])
         yield pa.RecordBatch.from_arrays(
             [pa.array([model[0].tolist()], pa.list_(pa.int32()))] + [pa.array([m.tolist()], pa.list_(pa.float64())) for m in model[1:]],
             ["chosen", "weights", "limits"])

@@ -24,13 +24,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stayline.llm.common import Memo, Recent, documents, list_array, slices
+from stayline.llm.common import Memo, Recent, documents, kept_alone, list_array, slices
 from stayline.llm.registry import query
 from stayline.llm.token_files import vocabulary_path
 
@@ -231,10 +230,9 @@ class PieceTransducer:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def transducer(path: str, stretches: int | None = None) -> PieceTransducer:
     """One machine per Python worker, so later tasks find its solved stretches."""
-    return PieceTransducer(path, stretches=stretches)
+    return kept_alone(PieceTransducer, path, 500_000, stretches)
 
 
 def encode_pieces(docs: DataFrame, model: str, columns: tuple[str, str] = ("doc_id", "text"),

@@ -1,7 +1,10 @@
 """Operators that work on each text or on lines: line dedup, mixing, tokens, pieces, fingerprints, quality."""
 
+import gc
 import hashlib
 import math
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stayline.llm import fingerprints, line_dedup, mixing, quality, sentencepiece_fst, token_files
-from stayline.llm.common import Memo, words
+from stayline.llm.common import Memo, kept_alone, words
 from stayline.llm.token_files import vocabulary_path
 from stayline.plans.durable import work_path
 
@@ -272,6 +275,38 @@ def test_probabilities_add_up_and_thresholds_are_ordered():
     assert weight[1002] > 0 > weight[1000]
 
 
+def test_fit_takes_little_more_memory_than_its_rows():
+    random = np.random.RandomState(5)
+    grades = np.arange(2000) % 3
+    rows = [np.unique(random.randint(0, 1 << quality.BITS, 2000)).astype(np.int32) for _ in grades]
+    rows = [np.union1d(r, [7]).astype(np.int32) if g == 2 else r for r, g in zip(rows, grades)]
+    given = sum(r.nbytes for r in rows)
+    tracemalloc.start()
+    chosen, weights, _ = quality.fit(rows, grades)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 7 in chosen and weights[chosen == 7][0] > 0
+    assert peak < 2 * given + (24 << quality.BITS) * 8  # what is held for each bucket, and no array of all features
+
+
+def test_worker_keeps_one_helper_at_a_time():
+    made = []
+    big, small = (lambda n: made.append(n) or set(range(n))), (lambda n: made.append(-n) or [n])
+    first = kept_alone(big, 5)
+    assert kept_alone(big, 5) is first and made == [5]
+    gone = weakref.ref(first)
+    del first
+    assert kept_alone(small, 1) == [1] and gone() is None
+    assert kept_alone(big, 5) == set(range(5)) and made == [5, -1, 5]
+    machine = sentencepiece_fst.transducer(PIECES, 10)
+    assert sentencepiece_fst.transducer(PIECES, 10) is machine and machine.solved.limit == 5
+    gone = weakref.ref(machine)
+    kept_alone(small, 1)
+    del machine
+    gc.collect()  # its memos refer to it
+    assert gone() is None
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
