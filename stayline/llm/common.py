@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -94,7 +95,10 @@ def kept_alone(make: Callable, *args):
     """
     key = (make, args)
     if key not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            gc.collect()  # helpers refer to themselves through their memos
+            pa.default_memory_pool().release_unused()
         _KEPT[key] = make(*args)
     return _KEPT[key]
 

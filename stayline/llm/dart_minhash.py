@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import Memo, as_long, documents, hash_word, kept_alone, list_array, settle_small, window_hashes, word_hashes, words
+from stayline.llm.common import Memo, as_long, documents, hash_word, kept_alone, list_array, settle_small, slices, window_hashes, word_hashes, words
 from stayline.llm.registry import query
 from stayline.llm.text_keys import doc_value, is_present, keyed, mixed, node_of, presence_map, searched_texts, word_digest, written
 
@@ -163,14 +163,15 @@ def set_rows(rows: DataFrame, wanted) -> DataFrame:
     """(node, elements) of the texts whose node a presence map lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sets = [], []
-            for text in batch.column(2):
-                tokens = words(text.as_py())
-                node = node_of(word_digest(tokens))
-                if tokens and is_present(wanted.value, np.array([node], np.int64).view(np.uint64))[0]:
-                    nodes.append(node)
-                    sets.append(cells(shingles(tokens)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(sets, pa.int64())], ["node", "elements"])
+            for part in slices(batch, 2, 1 << 20):  # elements take more room than their text
+                nodes, sets = [], []
+                for text in part.column(2):
+                    tokens = words(text.as_py())
+                    node = node_of(word_digest(tokens))
+                    if tokens and is_present(wanted.value, np.array([node], np.int64).view(np.uint64))[0]:
+                        nodes.append(node)
+                        sets.append(cells(shingles(tokens)).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(sets, pa.int64())], ["node", "elements"])
 
     return rows.mapInArrow(run, "node long, elements array<long>")
 

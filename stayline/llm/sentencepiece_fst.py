@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,13 @@ UNKNOWN_PENALTY = 10.0
 STOP = object()
 
 
+class Pairs(Memo):
+    """A Memo of pairs of pieces that holds each piece's text once."""
+
+    def __missing__(self, pair):
+        return super().__missing__((sys.intern(pair[0]), sys.intern(pair[1])))
+
+
 class PieceTransducer:
     """Pieces, ranks and settings of one model; see the module's text."""
 
@@ -72,7 +80,7 @@ class PieceTransducer:
         # neighbouring characters that some piece holds; between others every path passes a state of its own
         self.joined = {p[i:i + 2] for p in self.spelled for i in range(len(p) - 1)}
         self.cuts_at_space = not any(pair[1] == SPACE != pair[0] for pair in self.joined)
-        self.pairs = Memo(self._may_follow, memory)
+        self.pairs = Pairs(self._may_follow, memory)
         self.halves, self.ordered = Memo(self._halves, memory), Memo(self._in_order, memory)
         self.stable = Memo(lambda piece: len(piece) == 1 or self._merged(piece) == [piece], memory)
         # most stretches come once: a bound of its own keeps the frequent ones in less memory, for more computing

@@ -300,11 +300,17 @@ def test_worker_keeps_one_helper_at_a_time():
     assert kept_alone(big, 5) == set(range(5)) and made == [5, -1, 5]
     machine = sentencepiece_fst.transducer(PIECES, 10)
     assert sentencepiece_fst.transducer(PIECES, 10) is machine and machine.solved.limit == 5
+    machine.encode("one two one two")
+    held = [piece for pair in machine.pairs for piece in pair]
+    assert len({id(piece) for piece in held}) == len(set(held))
     gone = weakref.ref(machine)
-    kept_alone(small, 1)
     del machine
-    gc.collect()  # its memos refer to it
-    assert gone() is None
+    gc.disable()  # its memos refer to it
+    try:
+        kept_alone(small, 1)
+        assert gone() is None
+    finally:
+        gc.enable()
 
 
 def test_held_out_accuracy(spark):
