@@ -11,7 +11,8 @@ Compiled from a .model file, three machines are composed with each text:
   is the library's result. A unigram model has no such acceptor.
 
 The path is the shortest one in the tropical semiring (costs add along a path, the least one wins; of equal costs the
-path whose last piece starts first), found left to right in time linear in the text. Where no piece holds two neighbouring
+path whose last piece starts first), found left to right in time linear in the text. At each end the arcs that lead there are
+tried from the shortest; under an acceptor of piece pairs the first one let through is the only one. Where no piece holds two neighbouring
 characters, every path runs through the state between them and nothing before it matters after it. The stretches between
 such cuts (words, their end signs, ...) are solved once each and remembered.
 
@@ -24,7 +25,9 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from operator import add
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +46,38 @@ UNKNOWN_PENALTY = 10.0
 STOP = object()
 
 
-class Pairs(Memo):
-    """A Memo of pairs of pieces that holds each piece's text once."""
+class Pairs(dict):
+    """What ``make`` gives for a pair of pieces, as ``self[left][right]``; starts afresh when ``limit`` pairs are held.
+
+    A table per left piece needs no object per pair, and each piece's text is held once.
+    """
+
+    def __init__(self, make: Callable[[str, str], bool], limit: int):
+        super().__init__()
+        self.make, self.limit, self.held = make, limit, 0
+
+    def __missing__(self, left: str) -> Followers:
+        found = self[sys.intern(left)] = Followers(self, left)
+        return found
+
+    def __iter__(self) -> Iterator[tuple[str, str]]:
+        return ((left, right) for left, own in self.items() for right in own)
 
-    def __missing__(self, pair):
-        return super().__missing__((sys.intern(pair[0]), sys.intern(pair[1])))
+
+class Followers(dict):
+    """Which pieces may follow ``left``."""
+
+    def __init__(self, pairs: Pairs, left: str):
+        super().__init__()
+        self.pairs, self.left = pairs, left
+
+    def __missing__(self, right: str) -> bool:
+        if self.pairs.held >= self.pairs.limit:
+            self.pairs.clear()
+            self.pairs.held = 0
+        found = self[sys.intern(right)] = self.pairs.make(self.left, right)
+        self.pairs.held += 1
+        return found
 
 
 class PieceTransducer:
@@ -72,8 +102,8 @@ class PieceTransducer:
                     else " ⁇ ".encode() if p.type == UNKNOWN
                     else p.piece.replace(SPACE, " ").encode() for p in model.pieces]
         self.merges = kind == BPE
-        # arcs: what leads on from a state; None where characters only begin a piece
-        self.arcs: dict[str, float | None] = {p[:n]: None for p in self.spelled for n in range(1, len(p))}
+        # arcs: what leads to a state; None where characters only end a piece
+        self.arcs: dict[str, float | None] = {p[n:]: None for p in self.spelled for n in range(1, len(p))}
         self.arcs.update((p, -self.scores[i]) for p, i in self.spelled.items())
         self.longest = max(map(len, self.spelled), default=1)
         self.beyond = min(self.scores[i] for i in self.spelled.values()) - UNKNOWN_PENALTY if self.spelled else 0.0
@@ -133,14 +163,13 @@ class PieceTransducer:
         return halves is not None and all(
             len(h) == 1 or self.scores[self.spelled[h]] > score and self.ordered[h] for h in halves)
 
-    def _may_follow(self, pair: tuple[str, str]) -> bool:
+    def _may_follow(self, left: str, right: str) -> bool:
         """Whether no merge crosses the border of the two pieces.
 
         Merges are taken back, the latest first; what then stands at the border must not have merged before the merge
         just taken back. Of equal scores the one further left comes first. Pieces whose merges are not in order of
         score are merged out instead.
         """
-        left, right = pair
         if not (self.stable[left] and self.stable[right]):
             return False
         if not (self.ordered[left] and self.ordered[right]):
@@ -169,40 +198,42 @@ class PieceTransducer:
         back, last = [0] * (n + 1), [""] * (n + 1)
         cost[0] = 0.0
         arc, follows, merges, most = self.arcs.get, self.pairs, self.merges, self.longest
-        for i in range(n):
-            here, before, single = cost[i], last[i], False
-            if here is None:
-                continue
-            for j in range(i + 1, min(n, i + most) + 1):
+        for j in range(1, n + 1):
+            least = None
+            for i in range(j - 1, max(0, j - most) - 1, -1):
                 piece = text[i:j]
-                weight = arc(piece, STOP)
-                if weight is STOP:
+                weight = found = arc(piece, STOP)
+                if found is STOP or found is None:
+                    if i < j - 1:
+                        if found is STOP:
+                            break
+                        continue
+                    weight = -self.beyond  # byte fallback, or the unknown id, for one character
+                here = cost[i]
+                if here is not None and (not merges or (follows[last[i]][piece] if i else self.stable[piece])):
+                    total = here + weight
+                    if least is None or total <= least:
+                        least, back[j], last[j] = total, i, piece
+                    if merges:  # no other piece may end here
+                        break
+                if found is STOP:
                     break
-                if weight is not None:
-                    if j == i + 1:
-                        single = True
-                    if not merges or (follows[before, piece] if i else self.stable[piece]):
-                        total = here + weight
-                        if cost[j] is None or total < cost[j]:
-                            cost[j], back[j], last[j] = total, i, piece
-            if not single:  # byte fallback, or the unknown id, for one character
-                char = text[i]
-                if not merges or not i or follows[before, char]:
-                    total = here - self.beyond
-                    if cost[i + 1] is None or total < cost[i + 1]:
-                        cost[i + 1], back[i + 1], last[i + 1] = total, i, char
-        ids: list[list[int]] = []
-        at = n
+            cost[j] = least
+        spelled, ids, at = self.spelled.get, [], n
         while at > 0:
-            ids.append(self._ids(last[at]))
+            found = spelled(last[at])
+            if found is not None:
+                ids.append(found)
+            else:
+                ids += reversed(self._ids(last[at]))
             at = back[at]
-        return [i for part in reversed(ids) for i in part]
+        return ids[::-1]
 
     def _solve(self, part: str) -> bytes:
         """Ids of a stretch, put together from its stretches between cuts."""
+        if self.joined.issuperset(map(add, part, part[1:])):
+            return pack(f"<{len(ids := self.shortest_path(part))}i", *ids)
         cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in self.joined]
-        if not cuts:
-            return np.array(self.shortest_path(part), "<i4").tobytes()
         return b"".join([self.solved[part[a:b]] for a, b in zip([0, *cuts], [*cuts, len(part)])])
 
     def _ids(self, piece: str) -> list[int]:
@@ -223,9 +254,7 @@ class PieceTransducer:
             return self._solve(self.normalise(text))
         if self.shrink or "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
             return b"".join(map(self.solved.__getitem__, self.stretch.findall(self.normalise(text))))
-        first, *rest = text.split(" ")
-        lead = self.solved[SPACE + first if self.prefix else first]
-        return lead + b"".join([self.solved[SPACE + part] for part in rest])
+        return b"".join(map(self.solved.__getitem__, ((SPACE if self.prefix else "") + text.replace(" ", " " + SPACE)).split(" ")))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
