@@ -18,12 +18,12 @@ rows with equal ids stand next to each other, ordered by text; an empty table ha
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ NULL_KEY = -(1 << 63)
 LEVELS = 32
 ROOM = 2  # bits per key in a level
 SIGNS = ".,;:!?$%&#*|"  # ASCII signs that end a word; not the apostrophe, which binds letters
+LETTERS = "A-Za-zÀ-ÖØ-öø-į"  # stay one letter, composed and in lower case
+ENDING = re.compile(f"[{SIGNS}](?<=[{LETTERS}].)[{SIGNS}]*(?![^ ])")  # signs between a letter and a space or the end
 
 
 # ---------------------------------------------------------------------------------------------- minimal perfect hash
@@ -161,8 +163,8 @@ def encoder(path: str):
     """Text to ids as bytes of unsigned ``width``-byte integers, and the width. One per Python worker.
 
     Nothing of this kind of vocabulary reaches across a space, a line end, or the border of a letter and a sign, so
-    pieces of text are encoded by the library once and remembered, also from task to task. Whether that holds is looked
-    up in the tokenizer's own settings; otherwise whole texts are encoded.
+    words and the signs behind them are encoded by the library once and remembered, also from task to task. Whether that
+    holds is looked up in the tokenizer's own settings; otherwise whole texts are encoded.
     """
     import json
 
@@ -182,21 +184,18 @@ def encoder(path: str):
     if not _splits_at_space(settings):
         return lambda text: encode(text) if text else b"", width
     lowers = any(n.get("type") == "Lowercase" for n in settings["normalizer"]["normalizers"])
-    cores = Memo(encode, 2 * CACHE)
 
     def piece(chunk: str) -> bytes:
-        core = chunk.rstrip(SIGNS)
-        if not core or not (core.isascii() or normalize("NFC", core).lower()[-1:].isalpha()) or not core[-1].isalpha():
-            return encode(chunk)
-        tail = cores[chunk[len(core):]] if core != chunk else b""
-        return cores[core.lower() if lowers and core.isascii() else core] + tail
+        if lowers and chunk.isascii() and chunk.isalpha() and not chunk.islower():
+            return memo[chunk.lower()]
+        return encode(chunk)
 
-    memo = Memo(piece)
+    memo = Memo(piece, 2 * CACHE)
 
     def whole(text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(map(memo.__getitem__, text.replace("\n", " ").split(" ")))
+        return b"".join(map(memo.__getitem__, ENDING.sub(r" \g<0>", text.replace("\n", " ")).split(" ")))
 
     memo[""] = b""
     return whole, width
