@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +154,22 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What is computed inside passes at most ``rows`` rows at once to Python; the caller's setting holds again after.
+
+    An executor and its workers hold a batch of every running task, outside the heap and several times over.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def sha_hex(column: Column | str) -> Column:
     return F.sha2(F.col(column) if isinstance(column, str) else column, 256)
 

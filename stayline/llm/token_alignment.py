@@ -32,14 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import documents, list_array, settle_small, sha_hex, slices
+from stayline.llm.common import documents, list_array, settle_small, sha_hex, slices, small_batches
 from stayline.llm.registry import query
 from stayline.llm.token_files import vocabulary_path
 from stayline.plans.durable import work_path
 
 SPACE = "▁"  # fixed value of the piece model's format
 PAIRS = 1_000_000  # linked pairs of tokens that are broadcast
-CHUNKS, CHUNK_BYTES = 500_000, 64 << 20  # remembered per worker
+CHUNKS, CHUNK_BYTES = 150_000, 24 << 20  # remembered per worker
+LEARNT = 5_000  # chunks encoded at once: the tokenizers' results take some hundred bytes a token
 BATCH_BYTES = 1 << 20
 
 
@@ -161,9 +162,12 @@ class Aligner:
         """Encode and align chunks. Those that may stand before others are encoded as one text, and one by one if a
         tokenizer does not give back its bytes."""
         joined = [c for c in new if not c[-1].isspace()] if self.cuts else []
-        if not self._learn(joined, True):
-            self._learn(joined, False)
-        self._learn([c for c in new if c[-1].isspace()] if self.cuts else new, False)
+        alone = [c for c in new if c[-1].isspace()] if self.cuts else new
+        for some in (joined[i:i + LEARNT] for i in range(0, len(joined), LEARNT)):
+            if not self._learn(some, True):
+                self._learn(some, False)
+        for some in (alone[i:i + LEARNT] for i in range(0, len(alone), LEARNT)):
+            self._learn(some, False)
 
     def _learn(self, new: list[str], as_one: bool) -> bool:
         if not new:
@@ -291,8 +295,9 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.when(F.col("n_a") > 0, sha_hex("groups")).otherwise("")
     folder = work_path(spark, "aligned")
     # links repeat as texts do: plain numbers compress better than numbers of a dictionary
-    (aligned.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "links")
-     .write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(folder))
+    with small_batches(spark):
+        (aligned.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "links")
+         .write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(folder))
     rows = spark.read.parquet(folder)
     counts = settle_small(link_counts(rows, len(Pieces(path_b).spelled)), PAIRS)
     sums = link_sums(rows, counts)

@@ -308,3 +308,17 @@ def test_alignment_of_no_rows(spark, none, tmp_path):
 def test_long_text_is_aligned_whole(aligner):
     counts, groups, links = aligner.align([LONG])
     assert tuple(counts[0].tolist()) == brute_alignment(aligner, LONG)[:3] and groups[0].count(";") + 1 == counts[0][2] == len(links[0])
+
+
+def test_chunks_are_learnt_in_parts(aligner, monkeypatch):
+    small, asked = token_alignment.Aligner(BYTES, PIECES), []
+    encode = small.a.encode
+    monkeypatch.setattr(small.a, "encode", lambda texts: asked.append(sum(t.count(" ") for t in texts)) or encode(texts))
+    monkeypatch.setattr(token_alignment, "LEARNT", 7, raising=False)
+    text = [" ".join(f"word{i}" for i in range(50)) + "  two \n"]
+    counts, groups, links = small.align(text)
+    assert max(asked) <= 7
+    monkeypatch.undo()
+    small.forget()
+    again = small.align(text)
+    assert counts.tolist() == again[0].tolist() and groups == again[1] and links[0].tolist() == again[2][0].tolist()

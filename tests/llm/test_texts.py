@@ -3,19 +3,22 @@
 import gc
 import hashlib
 import math
+import re
 import tracemalloc
 import weakref
 import zlib
 from collections import Counter, defaultdict
+from unicodedata import normalize
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import ODD, SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stayline.llm import fingerprints, line_dedup, mixing, quality, sentencepiece_fst, token_files
+from stayline.llm import common, fingerprints, line_dedup, mixing, quality, sentencepiece_fst, token_files
 from stayline.llm.common import Memo, kept_alone, words
 from stayline.llm.token_files import vocabulary_path
 from stayline.plans.durable import work_path
@@ -401,3 +404,41 @@ def test_bounded_stretches_keep_the_frequent_ones():
     texts = [f"the word{i} and the other {i * 7}" for i in range(200)]
     assert [small.encode(t) for t in texts] == [whole.encode(t) for t in texts]
     assert len(small.solved) + len(small.solved.old) <= 10
+
+
+class _Counted(dict):
+    asked = 0
+
+    def get(self, *args):
+        _Counted.asked += 1
+        return super().get(*args)
+
+
+def test_few_arcs_are_tried_and_pairs_stay_bounded():
+    machine, library = sentencepiece_fst.PieceTransducer(PIECES, 300), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    machine.arcs = _Counted(machine.arcs)
+    text = "thereingtionstation internationalisation andthansteringes"
+    assert machine.shortest_path(machine.normalise(text)) == library.encode(text)
+    assert _Counted.asked <= 3.6 * len(text)
+    for word in LONG.split(" ")[:3000]:
+        assert machine.encode(word) == library.encode(word)
+    assert sum(1 for _ in machine.pairs) <= machine.pairs.limit
+
+
+def test_signs_behind_words_are_encoded_apart():
+    encode, width = token_files.encoder(TOKENS)
+    library = Tokenizer.from_file(TOKENS)
+    letters = [chr(c) for c in range(0x130) if re.match(f"[{token_files.LETTERS}]", chr(c))]
+    assert all(normalize("NFC", c) == c and len(c.lower()) == 1 and c.lower().isalpha() for c in letters) and len(letters) > 120
+    assert token_files.ENDING.sub(r" \g<0>", "a. b?! 3. c.d e,") == "a . b ?! 3. c.d e ,"
+    for text in ("Été... a.b c,\td. <|endoftext|>. x|", "É.\u0301 İ. ×. It's, IT'S! <|ENDOFTEXT|>x.", *(f"{c}{s}{e}" for c in letters for s in ".,*|" for e in ("", " z", "z"))):
+        assert np.frombuffer(encode(text), f"<u{width}").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_small_batches_hold_inside_only(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    sizes = spark.range(5000, numPartitions=1).mapInArrow(lambda b: (pa.RecordBatch.from_pydict({"n": [x.num_rows]}) for x in b), "n long")
+    with common.small_batches(spark, 700):
+        assert max(r.n for r in sizes.collect()) <= 700
+    assert spark.conf.get(name) == before
