@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import dart_minhash, line_dedup, mixing, quality, sentencepiece_fst
-from stayline.llm.common import documents, table
+from stayline.llm.common import documents, small_batches, table
 from stayline.llm.text_keys import doc_key, written
 from stayline.llm.token_files import vocabulary_path
 
@@ -29,8 +29,9 @@ STRETCHES = 200_000  # solved by a worker and kept: workers hold what earlier st
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier, fitted on the labels, keeps."""
-    model = quality.fit_model(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return quality.grade_documents(docs, model).where("keep").select("row.*")
+    with small_batches(spark):
+        model = quality.fit_model(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+        return written(quality.grade_documents(docs, model).where("keep").select("row.*"), "good")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies; of rows with one id and text one. Ids need not be there or differ."""
-    found = written(dart_minhash.near_duplicates(docs.select("doc_id", "text")).select("doc", "tkey", "root"), "classes")
+    with small_batches(spark):
+        found = written(dart_minhash.near_duplicates(docs.select("doc_id", "text")).select("doc", "tkey", "root"), "classes")
     stays = F.struct("doc", "tkey")
     best = found.groupBy("root").agg(F.min(stays).alias("best"))
     marked = found.join(best, "root").select("doc", "tkey", (stays == F.col("best")).alias("stays"))
@@ -74,7 +76,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, decoded_sha256, round_trip of every document of the mix."""
-    return sentencepiece_fst.encode_pieces(docs, vocabulary_path("piece_bpe_32k.model"), stretches=STRETCHES)
+    with small_batches(spark):
+        return written(sentencepiece_fst.encode_pieces(docs, vocabulary_path("piece_bpe_32k.model"), stretches=STRETCHES), "pieces")
 
 
 STAGES = [("quality", keep_good), ("lines", drop_lines), ("near copies", drop_near_copies), ("mix", mix),
